@@ -11,20 +11,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidewheel.streaming.packing import BODY, KEY, pack, unpack
+
+_STATE = T.StructType([T.StructField("n", T.LongType())])
+
 
 class _RunningCount(StatefulProcessor):
-    def __init__(self, order: list[str], name: str):
-        self.order, self.name = order, name
+    def __init__(self, order: list[str]):
+        self.order = order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", T.StructType([T.StructField("n", T.LongType())]))
+        self.total = handle.getValueState("total", _STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         # a shuffle does not keep arrival order, so the micro-batch's rows of the key are sorted
-        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        seen = self.total.get()[0] if self.total.exists() else 0
+        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable", na_position="first")
+        seen = int(self.total.get()[0]) if self.total.exists() else 0
         self.total.update((seen + len(pdf),))
-        yield pdf.assign(**{self.name: np.arange(seen + 1, seen + len(pdf) + 1)})
+        yield pd.DataFrame({KEY: key[0], "n": np.arange(seen + 1, seen + len(pdf) + 1), BODY: pdf[BODY].to_numpy()})
 
     def close(self) -> None:
         pass
@@ -38,7 +42,8 @@ def running_count_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str
     micro-batch are sorted in memory, so bound micro-batches at the source
     (``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``). Start it under ``stateful_settings``.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
-    return df.groupBy(*keys).transformWithStateInPandas(
-        _RunningCount(list(order), name), schema, outputMode="Append", timeMode="None"
+    packed, by = pack(df, keys, order, df.columns)
+    counted = packed.groupBy(KEY).transformWithStateInPandas(
+        _RunningCount(by), f"{KEY} string, n bigint, {BODY} string", outputMode="Append", timeMode="None"
     )
+    return unpack(counted, df, keys, ["n"], df.columns).withColumnRenamed("n", name).select(*df.columns, name)

@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_FLAG, _TIME = "__trigger", "__t"
+from tidewheel.streaming.packing import BODY, KEY, pack, unpack
+
 _PIECE = 10_000  # rows taken from or put into the state, or emitted, at a time
+_BUFFER = T.StructType([T.StructField(BODY, T.StringType())])
+# rows in the buffer, time of its first row, number of the window being filled
+_COUNTERS = T.StructType([T.StructField(n, T.LongType()) for n in ("rows", "first", "window_no")])
 
 
 def _pieces(rows: Iterator, size: int = _PIECE) -> Iterator[list]:
@@ -27,51 +31,45 @@ def _pieces(rows: Iterator, size: int = _PIECE) -> Iterator[list]:
         yield piece
 
 
-def _plain(pdf: pd.DataFrame) -> Iterator[tuple]:
-    """Rows as Python values, missing ones as None: what the state's row format takes."""
-    objects = pdf.astype(object)
-    return objects.where(objects.notna(), None).itertuples(index=False, name=None)
+def _labelled(key: tuple, bodies: Sequence[str], window_no: int, place: int) -> pd.DataFrame:
+    places = np.arange(place, place + len(bodies))
+    return pd.DataFrame({KEY: key[0], "window_no": window_no, "place": places, BODY: bodies})
 
 
 class _Until(StatefulProcessor):
     """Buffers a key's rows and emits them when the trigger, the cap or the time limit is met."""
 
-    def __init__(self, keys, order, fields, field_schema, max_events, micros):
-        self.keys, self.order, self.fields = keys, order, fields
-        self.field_schema, self.max_events, self.micros = field_schema, max_events, micros
+    def __init__(self, order: list[str], max_events: int | None, micros: int | None):
+        self.order, self.max_events, self.micros = order, max_events, micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buffer = handle.getListState("buffer", self.field_schema)
-        # rows in the buffer, time of its first row, number of the window being filled
-        counters = [T.StructField(n, T.LongType()) for n in ("rows", "first", "window_no")]
-        self.counters = handle.getValueState("counters", T.StructType(counters))
-
-    def _close(self, key, buffered: int, more: pd.DataFrame | None, window_no: int) -> Iterator[pd.DataFrame]:
-        """Emit the buffer, then ``more``; clears the buffer."""
-        place = 0
+        self.buffer = handle.getListState("buffer", _BUFFER)
+        self.counters = handle.getValueState("counters", _COUNTERS)
+
+    def _open_window(self) -> tuple[int, int, int]:
+        return tuple(map(int, self.counters.get())) if self.counters.exists() else (0, 0, 0)
+
+    def _emit(self, key: tuple, buffered: int, bodies: np.ndarray, window_no: int) -> Iterator[pd.DataFrame]:
+        """The buffer, which is cleared, and then ``bodies``."""
         if buffered:
+            place = 0
             for piece in _pieces(self.buffer.get()):
-                yield self._label(key, pd.DataFrame(piece, columns=self.fields), window_no, place)
+                yield _labelled(key, [row[0] for row in piece], window_no, place)
                 place += len(piece)
             self.buffer.clear()
-        if more is not None and len(more):
-            yield self._label(key, more[self.fields], window_no, place)
-
-    def _label(self, key, pdf: pd.DataFrame, window_no: int, place: int) -> pd.DataFrame:
-        head = {k: [v] * len(pdf) for k, v in zip(self.keys, key)}
-        head |= {"window_no": window_no, "place": np.arange(place, place + len(pdf))}
-        return pd.concat([pd.DataFrame(head), pdf.reset_index(drop=True)], axis=1)
+        if len(bodies):
+            yield _labelled(key, bodies, window_no, buffered)
 
     def _deadline_ms(self, first: int) -> int:
         return -(-(first + self.micros) // 1000)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        buffered, first, window_no = self.counters.get() if self.counters.exists() else (0, 0, 0)
-        old_first = first if buffered else None
-        triggers = np.flatnonzero(pdf[_FLAG].to_numpy())
-        times = pdf[_TIME].to_numpy() if self.micros else None
+        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable", na_position="first")
+        bodies, triggers = pdf[BODY].to_numpy(), np.flatnonzero(pdf["flag"].to_numpy())
+        times = pdf["time"].to_numpy() if self.micros else None
+        buffered, first, window_no = self._open_window()
+        timer = first if buffered else None
 
         start, size = 0, len(pdf)
         while start < size:
@@ -79,37 +77,36 @@ class _Until(StatefulProcessor):
             following = np.searchsorted(triggers, start)
             if following < len(triggers):
                 ends.append(int(triggers[following]) + 1)
-            if self.max_events:
+            if self.max_events and start + self.max_events - buffered <= size:
                 ends.append(start + self.max_events - buffered)
             if self.micros:
                 first = first if buffered else int(times[start])
-                by_time = start + int(np.searchsorted(times[start:], first + self.micros))
-                if by_time < size:
-                    ends.append(by_time)
-            end = min(ends, default=size + 1)
-            part = pdf.iloc[start : min(end, size)]
-            if end <= size:
-                yield from self._close(key, buffered, part, window_no)
+                too_late = start + int(np.searchsorted(times[start:], first + self.micros))
+                if too_late < size:
+                    ends.append(too_late)
+            end = min(ends, default=size)
+            if ends:
+                yield from self._emit(key, buffered, bodies[start:end], window_no)
                 buffered, window_no = 0, window_no + 1
             else:
-                for piece in _pieces(_plain(part[self.fields])):
+                for piece in _pieces((body,) for body in bodies[start:end]):
                     self.buffer.appendList(piece)
-                buffered += len(part)
-            start += len(part)
+                buffered += end - start
+            start = end
 
-        self.counters.update((int(buffered), int(first), int(window_no)))
+        self.counters.update((buffered, first, window_no))
         if self.micros:
-            new_first = first if buffered else None
-            if old_first is not None and old_first != new_first:
-                self.handle.deleteTimer(self._deadline_ms(old_first))
-            if new_first is not None and new_first != old_first:
-                self.handle.registerTimer(self._deadline_ms(new_first))
+            needed = first if buffered else None
+            if timer is not None and timer != needed:
+                self.handle.deleteTimer(self._deadline_ms(timer))
+            if needed is not None and timer != needed:
+                self.handle.registerTimer(self._deadline_ms(needed))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        buffered, first, window_no = self.counters.get() if self.counters.exists() else (0, 0, 0)
+        buffered, first, window_no = self._open_window()
         if buffered and self._deadline_ms(first) <= expiredTimerInfo.getExpiryTimeInMs():
-            self.counters.update((0, 0, int(window_no) + 1))
-            yield from self._close(key, buffered, None, window_no)
+            self.counters.update((0, 0, window_no + 1))
+            yield from self._emit(key, buffered, np.array([]), window_no)
 
     def close(self) -> None:
         pass
@@ -136,18 +133,15 @@ def windows_until_stream(
     Open windows are in the state store on disk, and are read and emitted piece by piece.
     Start it under ``stateful_settings``.
     """
-    keys, order, fields = list(keys), list(order), list(fields)
-    flagged = df.withColumn(_FLAG, F.coalesce(trigger, F.lit(False)))
+    extra = {"flag": F.coalesce(trigger, F.lit(False))}
     if seconds:
-        flagged = flagged.withColumn(_TIME, F.unix_micros(time))
-    wanted = dict.fromkeys([*keys, *order, *fields, _FLAG, *([_TIME, time] if seconds else [])])
-    field_schema = T.StructType([df.schema[f] for f in fields])
-    labels = [T.StructField("window_no", T.LongType()), T.StructField("place", T.LongType())]
-    schema = T.StructType([*[df.schema[k] for k in keys], *labels, *field_schema.fields])
-    micros = int(seconds * 1_000_000) if seconds else None
-    return flagged.select(*wanted).groupBy(*keys).transformWithStateInPandas(
-        _Until(keys, order, fields, field_schema, max_events, micros),
-        schema,
+        # the column under the watermark must go along for its timers to fire
+        extra |= {"time": F.unix_micros(time), "watermarked": F.col(time)}
+    packed, by = pack(df, keys, order, fields, **extra)
+    emitted = packed.groupBy(KEY).transformWithStateInPandas(
+        _Until(by, max_events, int(seconds * 1_000_000) if seconds else None),
+        f"{KEY} string, window_no bigint, place bigint, {BODY} string",
         outputMode="Append",
         timeMode="EventTime" if seconds else "None",
     )
+    return unpack(emitted, df, keys, ["window_no", "place"], fields)
