@@ -6,8 +6,10 @@ from tidewheel.functions.records import (  # noqa: F401
 )
 from tidewheel.functions.text import (  # noqa: F401
     fold_sequence,
+    has_letters,
+    only_letters,
     plain_words,
+    raw_words,
     show_upper,
     with_prefix,
-    word_candidates,
 )

@@ -6,14 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def word_candidates(text: Column) -> Column:
-    """Lower-case ``text``, delete everything but ASCII letters, digits and white space, split.
+def raw_words(text: Column) -> Column:
+    """Lower-case text cut at white space, as an array; may hold empty strings."""
+    return F.split(F.lower(text), r"\s+")
 
-    Punctuation is deleted, not replaced: ``don't`` gives ``dont``. The array may hold
-    empty strings (from leading or trailing space), which the caller filters after the
-    explode, where the filter is part of the generated code.
+
+def has_letters(word: Column) -> Column:
+    """Whether a raw word has anything left after :func:`only_letters`."""
+    return word.rlike("[a-z0-9]")
+
+
+def only_letters(word: Column) -> Column:
+    """A raw word without everything but ASCII letters and digits: ``don't`` gives ``dont``.
+
+    Deleting inside words leaves white space alone, so it may follow the split. That is much
+    cheaper than to rewrite whole texts first.
     """
-    return F.split(F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", ""), r"\s+")
+    return F.regexp_replace(word, "[^a-z0-9]", "")
 
 
 def plain_words(text: Column) -> Column:

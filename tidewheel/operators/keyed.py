@@ -34,15 +34,12 @@ def rebalance(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
-def spread_scan(df: DataFrame, below_bytes: int = 1 << 30) -> DataFrame:
-    """Deal out a small scan that came as fewer partitions than there are cores.
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Deal out a scan that comes as fewer partitions than there are cores.
 
-    Meant for a file scan in front of costly per-row work (tokenizing long texts). A file
-    with one row group is one task however many cores wait. Large scans have splits enough
-    and are returned as they are, so there is no shuffle where it would cost.
+    Meant for a file scan in front of costly per-row work (tokenizing long texts): a file of
+    one row group is one task however many cores wait. A scan with splits enough for the
+    cores, as any large table has, is returned as it is and is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    if size >= below_bytes or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.functions.text import plain_words, word_candidates
+from tidewheel.functions.text import has_letters, only_letters, plain_words, raw_words
 
 
 def tokenize(df: DataFrame, text: str = "value") -> DataFrame:
-    """Normalised words of each line, one row ``word`` each; empty words are left out."""
-    return df.select(F.explode(word_candidates(F.col(text))).alias("word")).where(F.col("word") != "")
+    """Normalised words of each line, one row ``word`` each: lower case, ASCII letters and digits
+    only, what else there is deleted. Words of which nothing is left are left out."""
+    words = df.select(F.explode(raw_words(F.col(text))).alias("word"))
+    # the filter looks at the raw word, so that the replacement runs once, on words that stay
+    return words.where(has_letters(F.col("word"))).select(only_letters(F.col("word")).alias("word"))
 
 
 def split_words(df: DataFrame, text: str = "value") -> DataFrame:

@@ -24,11 +24,19 @@ def watch_lines(spark: SparkSession, folder: str, **limits: str | int) -> DataFr
 
 
 def _csv_options(mode: str) -> dict[str, str]:
-    return {"header": "false", "mode": mode, "columnNameOfCorruptRecord": CORRUPT}
+    return {"header": "false", "mode": mode}
 
 
-def _with_corrupt(schema: T.StructType, keep_corrupt: bool) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if keep_corrupt else schema
+def _parsed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """CSV lines as typed columns and the raw line of those that do not parse.
+
+    Goes by text lines because the CSV reader refuses queries on its corrupt-record column
+    alone, and those are what a quarantine is for.
+    """
+    probed = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    row = F.from_csv("value", probed.simpleString(), options).alias("row")
+    return lines.where(F.col("value") != "").select(row).select("row.*")
 
 
 def read_csv(
@@ -43,7 +51,9 @@ def read_csv(
     A field that does not parse becomes null; ``mode='FAILFAST'`` raises instead, and
     ``keep_corrupt`` adds the raw line of a bad row (see :func:`split_corrupt`).
     """
-    return spark.read.options(**_csv_options(mode)).schema(_with_corrupt(schema, keep_corrupt)).csv(path)
+    if keep_corrupt:
+        return _parsed_lines(read_lines(spark, path), schema)
+    return spark.read.options(**_csv_options(mode)).schema(schema).csv(path)
 
 
 def watch_csv(
@@ -55,8 +65,9 @@ def watch_csv(
     **limits: str | int,
 ) -> DataFrame:
     """:func:`read_csv` for a watched folder."""
-    reader = spark.readStream.options(**_csv_options(mode)).options(**limits)
-    return reader.schema(_with_corrupt(schema, keep_corrupt)).csv(folder)
+    if keep_corrupt:
+        return _parsed_lines(watch_lines(spark, folder, **limits), schema)
+    return spark.readStream.options(**_csv_options(mode)).options(**limits).schema(schema).csv(folder)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
