@@ -34,12 +34,14 @@ def rebalance(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
+def spread_scan(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
     """Deal out a scan that comes as fewer partitions than there are cores.
 
     Meant for a file scan in front of costly per-row work (tokenizing long texts): a file of
     one row group is one task however many cores wait. A scan with splits enough for the
-    cores, as any large table has, is returned as it is and is not shuffled.
+    cores, as any large table has, is returned as it is and is not shuffled. For a stream give
+    the bounded ``scan`` of the same files to judge by.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    narrow = (df if scan is None else scan).rdd.getNumPartitions() < cores
+    return df.repartition(cores) if narrow else df

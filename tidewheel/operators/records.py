@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BAD = "_bad_json"
 
 
+def _with_parsed(df: DataFrame, parsed: Column) -> DataFrame:
+    """``df`` and column ``record``. As a plain column the parser would be copied into the
+    filter and into each field that is read, and run for each; as the one row of a generator it
+    runs once."""
+    return df.select("*", F.explode_outer(F.array(parsed)).alias("record"))
+
+
 def parse_json(
     df: DataFrame,
     schema: T.StructType,
@@ -21,11 +28,10 @@ def parse_json(
     ``fail_fast`` the job stops at the first such row and the quarantine is empty.
     """
     if fail_fast:
-        parsed = df.withColumn("record", F.from_json(text, schema, {"mode": "FAILFAST"}))
-        return parsed, df.where(F.lit(False))
+        return _with_parsed(df, F.from_json(text, schema, {"mode": "FAILFAST"})), df.where(F.lit(False))
     probed = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    parsed = df.withColumn("record", F.from_json(text, probed, options))
+    parsed = _with_parsed(df, F.from_json(text, probed, options))
     bad = F.col("record").isNull() | F.col(f"record.{_BAD}").isNotNull()
     record = F.struct(*[F.col(f"record.`{f.name}`").alias(f.name) for f in schema.fields])
     return parsed.where(~bad).withColumn("record", record), parsed.where(bad).drop("record")

@@ -83,7 +83,7 @@ def windows_until_capped(
     counted = running_fold(
         labelled, in_window, order, [Fold("__at", one), Fold("__rows", one, whole=True)], hot_windows
     )
-    chunk = F.floor((F.col("__at") - 1) / max_events).cast("long")
+    chunk = F.expr(f"(__at - 1) div {int(max_events)}")
     full = (F.col("chunk") + 1) * max_events <= F.col("__rows")
     triggered = F.col("window_no") < F.col("__windows")
     return (

@@ -44,8 +44,8 @@ ORACLES: dict[str, str] = {}
 LIMITS = {"maxBytesPerTrigger": str(256 << 30)}
 PURCHASE = "event_type = 'purchase'"
 IN_ORDER = ["ts", "event_id"]
-# A split this small makes every key of the small tables hot, to put the cut form to the test.
-SMALL_SPLIT = 20
+# A split this small makes large keys of the small tables hot, to put the cut form to the test.
+SMALL_SPLIT = 500
 
 
 def query(oracle: str):
@@ -142,7 +142,7 @@ def running_count_per_record(spark, folder):
 @query(_RUNNING)
 def running_count_hot_keys(spark, folder):
     """The same with every key cut into slices: five keys hold all rows."""
-    return running_count(_events_to_count(spark, folder), ["event_type"], IN_ORDER, split_rows=500).drop("ts")
+    return running_count(_events_to_count(spark, folder), ["event_type"], IN_ORDER, split_rows=SMALL_SPLIT).drop("ts")
 
 
 @query("""
@@ -276,10 +276,17 @@ def conditional_window(spark, folder):
     return _lists(windows_until(_events_to_gather(spark, folder), ["user_id"], IN_ORDER, F.expr(PURCHASE)))
 
 
-@query(_UNTIL_LISTS)
+@query("""
+    WITH g AS (SELECT *, coalesce(sum((value > 100)::INT) OVER (PARTITION BY event_type
+            ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS window_no
+        FROM events)
+    SELECT event_type, window_no, count(*) AS n, string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id) AS ids
+    FROM g GROUP BY event_type, window_no HAVING bool_or(value > 100)""")
 def conditional_window_hot_keys(spark, folder):
-    events = _events_to_gather(spark, folder)
-    return _lists(windows_until(events, ["user_id"], IN_ORDER, F.expr(PURCHASE), SMALL_SPLIT))
+    """Five keys hold all rows and every one is cut into slices; up to a value above 100."""
+    events = read_table(spark, folder, "events").select("event_type", "event_id", "value", "ts")
+    rows = windows_until(events, ["event_type"], IN_ORDER, F.col("value") > 100, SMALL_SPLIT)
+    return gather_windows(rows, ["event_type"], IN_ORDER, ["event_id"]).select("event_type", "window_no", "n", _ids())
 
 
 @query(_UNTIL + """
@@ -429,7 +436,8 @@ def stream_upper_map(spark, folder):
 @query(_WORD_COUNT)
 def stream_word_count(spark, folder):
     def build():
-        return jobs.word_count(stream_table(spark, folder, "documents", **LIMITS).select("text"), "text")
+        texts = stream_table(spark, folder, "documents", **LIMITS).select("text")
+        return jobs.word_count(spread_scan(texts, read_table(spark, folder, "documents").select("text")), "text")
 
     return latest_to_table(build, spark, ["word"])
 

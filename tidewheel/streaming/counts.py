@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidewheel.streaming.packing import BODY, KEY, pack, unpack
+from tidewheel.streaming.packing import BODY, KEY, in_order, pack, unpack
 
 _STATE = T.StructType([T.StructField("n", T.LongType())])
 
@@ -24,9 +24,8 @@ class _RunningCount(StatefulProcessor):
         self.total = handle.getValueState("total", _STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        # a shuffle does not keep arrival order, so the micro-batch's rows of the key are sorted
-        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable", na_position="first")
-        seen = int(self.total.get()[0]) if self.total.exists() else 0
+        pdf, so_far = in_order(rows, self.order), self.total.get()
+        seen = int(so_far[0]) if so_far else 0
         self.total.update((seen + len(pdf),))
         yield pd.DataFrame({KEY: key[0], "n": np.arange(seen + 1, seen + len(pdf) + 1), BODY: pdf[BODY].to_numpy()})
 

@@ -7,8 +7,10 @@ text, made and read back by Spark's own functions, and integers to sort by.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,3 +54,13 @@ def unpack(
     parsed = packed.select(read(KEY, keys), *labels, read(BODY, fields))
     alone = [F.col(f"{KEY}.`{k}`").alias(k) for k in keys if k not in fields]
     return parsed.select(*alone, *labels, f"{BODY}.*")
+
+
+def in_order(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
+    """A key's rows of one micro-batch, sorted; a shuffle does not keep arrival order."""
+    pieces = list(rows)
+    pdf = pieces[0] if len(pieces) == 1 else pd.concat(pieces, ignore_index=True)
+    columns = [pdf[c].to_numpy() for c in order]
+    if any(c.dtype.kind == "O" or (c.dtype.kind == "f" and np.isnan(c).any()) for c in columns):
+        return pdf.sort_values(list(order), kind="stable", na_position="first")
+    return pdf.iloc[np.lexsort(columns[::-1])]

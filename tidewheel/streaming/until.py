@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidewheel.streaming.packing import BODY, KEY, pack, unpack
+from tidewheel.streaming.packing import BODY, KEY, in_order, pack, unpack
 
 _PIECE = 10_000  # rows taken from or put into the state, or emitted, at a time
 _BUFFER = T.StructType([T.StructField(BODY, T.StringType())])
@@ -31,9 +31,30 @@ def _pieces(rows: Iterator, size: int = _PIECE) -> Iterator[list]:
         yield piece
 
 
-def _labelled(key: tuple, bodies: Sequence[str], window_no: int, place: int) -> pd.DataFrame:
-    places = np.arange(place, place + len(bodies))
-    return pd.DataFrame({KEY: key[0], "window_no": window_no, "place": places, BODY: bodies})
+# (texts of rows, window, place in the window of the first of them)
+Part = tuple[Sequence[str], int, int]
+
+
+def _frames(key: tuple, parts: Iterator[Part]) -> Iterator[pd.DataFrame]:
+    """Parts of windows as frames of about ``_PIECE`` rows: a frame for each window would cost
+    more than all else."""
+
+    def frame(some: list[Part]) -> pd.DataFrame:
+        sizes = [len(bodies) for bodies, _, _ in some]
+        places = [np.arange(place, place + n) for (_, _, place), n in zip(some, sizes)]
+        windows = np.repeat([window_no for _, window_no, _ in some], sizes)
+        bodies = np.concatenate([np.asarray(b, dtype=object) for b, _, _ in some])
+        return pd.DataFrame({KEY: key[0], "window_no": windows, "place": np.concatenate(places), BODY: bodies})
+
+    waiting, rows = [], 0
+    for part in parts:
+        waiting.append(part)
+        rows += len(part[0])
+        if rows >= _PIECE:
+            yield frame(waiting)
+            waiting, rows = [], 0
+    if waiting:
+        yield frame(waiting)
 
 
 class _Until(StatefulProcessor):
@@ -48,24 +69,27 @@ class _Until(StatefulProcessor):
         self.counters = handle.getValueState("counters", _COUNTERS)
 
     def _open_window(self) -> tuple[int, int, int]:
-        return tuple(map(int, self.counters.get())) if self.counters.exists() else (0, 0, 0)
+        counters = self.counters.get()
+        return tuple(map(int, counters)) if counters else (0, 0, 0)
 
-    def _emit(self, key: tuple, buffered: int, bodies: np.ndarray, window_no: int) -> Iterator[pd.DataFrame]:
+    def _emit(self, buffered: int, bodies: Sequence[str], window_no: int) -> Iterator[Part]:
         """The buffer, which is cleared, and then ``bodies``."""
         if buffered:
             place = 0
             for piece in _pieces(self.buffer.get()):
-                yield _labelled(key, [row[0] for row in piece], window_no, place)
+                yield [row[0] for row in piece], window_no, place
                 place += len(piece)
             self.buffer.clear()
         if len(bodies):
-            yield _labelled(key, bodies, window_no, buffered)
+            yield bodies, window_no, buffered
 
     def _deadline_ms(self, first: int) -> int:
         return -(-(first + self.micros) // 1000)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable", na_position="first")
+        yield from _frames(key, self._take_in(in_order(rows, self.order)))
+
+    def _take_in(self, pdf: pd.DataFrame) -> Iterator[Part]:
         bodies, triggers = pdf[BODY].to_numpy(), np.flatnonzero(pdf["flag"].to_numpy())
         times = pdf["time"].to_numpy() if self.micros else None
         buffered, first, window_no = self._open_window()
@@ -86,7 +110,7 @@ class _Until(StatefulProcessor):
                     ends.append(too_late)
             end = min(ends, default=size)
             if ends:
-                yield from self._emit(key, buffered, bodies[start:end], window_no)
+                yield from self._emit(buffered, bodies[start:end], window_no)
                 buffered, window_no = 0, window_no + 1
             else:
                 for piece in _pieces((body,) for body in bodies[start:end]):
@@ -106,7 +130,7 @@ class _Until(StatefulProcessor):
         buffered, first, window_no = self._open_window()
         if buffered and self._deadline_ms(first) <= expiredTimerInfo.getExpiryTimeInMs():
             self.counters.update((0, 0, window_no + 1))
-            yield from self._emit(key, buffered, np.array([]), window_no)
+            yield from _frames(key, self._emit(buffered, (), window_no))
 
     def close(self) -> None:
         pass
