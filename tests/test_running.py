@@ -62,7 +62,7 @@ def test_a_hot_key_is_cut_into_many_groups(spark):
 
     df = spark.createDataFrame(skewed_rows(9000, same_time=0.5), SCHEMA)
     hot = find_hot_keys(df, ["k"], ["ts", "id"], 2000)
-    sliced, slices = _with_slices(df, ["k"], hot)
+    sliced, slices = _with_slices(df, hot)
     sizes = sliced.groupBy("k", *slices).count().collect()
     whole = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
     assert whole["hot"] > 2800

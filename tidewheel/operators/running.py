@@ -56,11 +56,18 @@ class Fold:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hash codes of the keys to cut, and slice borders per order column."""
+    """Hash codes of the keys to cut, and slice borders per order column.
 
+    Good for frames with more grouping columns too: a part of a key is cut where its key is.
+    """
+
+    keys: list[str]
     hashes: list[int]
     borders: list[tuple[str, list[float], list[float]]]  # order column, splits, values to cut further
 
+    def is_hot(self) -> Column:
+        return _key_hash(self.keys).isin(self.hashes)
+
 
 def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
@@ -130,12 +137,12 @@ def find_hot_keys(
         if not crowded:
             break
         rows = rows.where(x.isin(crowded))
-    return HotKeys(hot, borders) if borders else None
+    return HotKeys(list(keys), hot, borders) if borders else None
 
 
-def _with_slices(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> tuple[DataFrame, list[str]]:
+def _with_slices(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, list[str]]:
     """``df`` with one slice column per border list. Rows of ordinary keys are all in one slice."""
-    to_cut = _key_hash(keys).isin(hot.hashes)
+    to_cut = hot.is_hot()
     names = []
     for level, (column, splits, crowded) in enumerate(hot.borders):
         x = _as_number(column, df.schema[column].dataType)
@@ -159,9 +166,11 @@ def _fold(fold: Fold, over: Column | None = None, value: Column | None = None) -
 def running_fold(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], folds: Sequence[Fold], hot: HotKeys | None
 ) -> DataFrame:
-    """``df`` and one column per fold. ``hot`` is what :func:`find_hot_keys` said about ``df``.
+    """``df`` and one column per fold.
 
-    ``order`` must be total within a key (end it with a unique column).
+    ``order`` must be total within a key (end it with a unique column), and ``df`` must give the
+    same rows whenever it is computed. ``hot`` is what :func:`find_hot_keys` said of ``df``, or of
+    a frame that ``df`` was made from with the same rows and order, by some of the keys.
     """
     keys, order = list(keys), list(order)
 
@@ -175,11 +184,11 @@ def running_fold(
         )
 
     value = {f.name: f"__v_{f.name}" for f in folds}
-    sliced, slices = _with_slices(df.select("*", *[f.value.alias(value[f.name]) for f in folds]), keys, hot)
+    sliced, slices = _with_slices(df.select("*", *[f.value.alias(value[f.name]) for f in folds]), hot)
 
     # Totals of the earlier slices (for ``whole``: of all slices), one row per (key, slice) of a hot key.
     totals = (
-        sliced.where(_key_hash(keys).isin(hot.hashes))
+        sliced.where(hot.is_hot())
         .groupBy(*keys, *slices)
         .agg(*[_OPS[f.op](value[f.name]).alias(value[f.name]) for f in folds])
     )

@@ -76,13 +76,10 @@ def windows_until_capped(
     folds = [Fold("window_no", F.col(_FLAG), inclusive=False), Fold("__windows", F.col(_FLAG), whole=True)]
     labelled = running_fold(flagged, keys, order, folds, hot)
 
-    # no (key, window) is larger than its key: look again only where some key was hot
-    in_window = [*keys, "window_no"]
-    hot_windows = find_hot_keys(labelled, in_window, order, split_rows) if hot else None
+    # plain windows by (key, window) need no further shuffle: rows are already together by key
     one = F.lit(1).cast("long")
-    counted = running_fold(
-        labelled, in_window, order, [Fold("__at", one), Fold("__rows", one, whole=True)], hot_windows
-    )
+    places = [Fold("__at", one), Fold("__rows", one, whole=True)]
+    counted = running_fold(labelled, [*keys, "window_no"], order, places, hot)
     chunk = F.expr(f"(__at - 1) div {int(max_events)}")
     full = (F.col("chunk") + 1) * max_events <= F.col("__rows")
     triggered = F.col("window_no") < F.col("__windows")
@@ -91,34 +88,50 @@ def windows_until_capped(
     )
 
 
-def _group_borders(batch: pa.RecordBatch, names: Sequence[str]) -> list[int]:
-    """Where the values of ``names`` change, with 0 and the number of rows. Nulls are equal."""
+def _starts_of_groups(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
+    """Rows at which the values of ``names`` change, with row 0. Nulls are equal."""
     ends = [pc.run_end_encode(batch.column(n)).run_ends.to_numpy() for n in names]
-    return [0, *np.unique(np.concatenate(ends)).tolist()]
+    return np.concatenate([[0], np.unique(np.concatenate(ends))[:-1]])
 
 
-def _window_starts(group_by: Sequence[str], micros: int):
+def _window_starts(group_by: Sequence[str], millis: int):
     """Thin sorted distinct times to window starts: the first of each group, then always the
-    first that is at least ``micros`` after the one before. Holds one batch at a time."""
+    first that is at least ``millis`` after the one before. Holds one batch at a time."""
 
     def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, deadline = None, 0
+        group, deadline = None, 0  # of the last start so far
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            times = batch.column("__t").to_numpy()
-            borders = _group_borders(batch, group_by)
-            picked = []
-            for a, b in zip(borders, borders[1:]):
-                this = tuple(batch.column(n)[a].as_py() for n in group_by)
-                if this != group:
-                    group, deadline = this, times[a]
-                at = a + int(np.searchsorted(times[a:b], deadline))
+            times = batch.column("__ms").to_numpy()
+            groups = _starts_of_groups(batch, group_by)
+            first = tuple(batch.column(n)[0].as_py() for n in group_by)
+            # A row that long after the row before it is a start whatever came before; from
+            # one of these to the next there is a stretch, and most have but that one start.
+            sure = np.zeros(len(times), dtype=bool)
+            sure[1:] = np.diff(times) >= millis
+            sure[groups] = True
+            sure[0] = first != group
+            begins = np.flatnonzero(sure)
+            if not sure[0]:  # the last batch's group goes on
+                begins = np.concatenate([[0], begins])
+            ends = np.concatenate([begins[1:], [len(times)]])
+            deadlines = times[begins]
+            if not sure[0]:
+                deadlines[0] = deadline
+            dense = times[ends - 1] >= deadlines + millis
+            dense[0] |= not sure[0]
+            picked = [begins[~dense]]
+            for a, b, deadline in zip(begins[dense], ends[dense], deadlines[dense]):
+                at = a + np.searchsorted(times[a:b], deadline)
                 while at < b:
-                    picked.append(at)
-                    deadline = times[at] + micros
-                    at += int(np.searchsorted(times[at:b], deadline))
-            yield batch.take(pa.array(picked, pa.int64()))
+                    picked.append([at])
+                    deadline = times[at] + millis
+                    at += np.searchsorted(times[at:b], deadline)
+            if not dense[-1]:
+                deadline = deadlines[-1] + millis
+            group = tuple(batch.column(n)[len(times) - 1].as_py() for n in group_by)
+            yield batch.take(pa.array(np.sort(np.concatenate(picked)).astype("int64")))
 
     return starts
 
@@ -134,42 +147,36 @@ def windows_until_timeout(
 ) -> DataFrame:
     """:func:`windows_until` where a window also ends ``seconds`` after its first row.
 
-    A window takes the rows with time in ``[first, first + seconds)`` up to a trigger. The
-    input being whole, the last window of a key ends by its time too, so all rows come out.
-    Adds ``window_no`` (from 0 per key).
+    A window takes the rows with time in ``[first, first + seconds)`` up to a trigger, by time
+    in whole milliseconds. The input being complete, the last window of a key ends by its time
+    too, so all rows come out. Adds ``window_no`` (from 0 per key).
 
     Where a window starts depends on where the one before did, so that chain is followed in
-    order, but over the distinct times only, per (key, stretch between triggers), a batch at a
-    time. The rows themselves never leave the JVM: the starts come back as markers in front
-    of the rows and a running count numbers the windows.
+    order. It runs over the distinct milliseconds only, per (key, stretch between triggers),
+    a batch at a time: at most 86.4 million numbers for a day of the busiest key, however many
+    rows it has. The rows themselves never leave the JVM: the starts come back as markers in
+    front of the first row of their window, and a running count numbers the windows.
     """
     keys, order = list(keys), [time, *tie_break]
     if not isinstance(df.schema[time].dataType, T.TimestampType):
         raise TypeError(f"{time} must be a timestamp")
     hot = find_hot_keys(df, keys, order, split_rows)
-    stretch = "__stretch"
-    labelled = running_fold(df, keys, order, [Fold(stretch, _as_flag(trigger), inclusive=False)], hot)
-
-    group = [*[f"__k{i}" for i in range(len(keys))], stretch]
-    times = labelled.select(
-        *[F.col(k).alias(g) for k, g in zip(keys, group)], stretch, F.unix_micros(time).alias("__t")
-    ).distinct()
-    by_group = times.repartition(*group).sortWithinPartitions(*group, "__t")
-    marks = by_group.mapInArrow(_window_starts(group, int(seconds * 1_000_000)), by_group.schema)
-
-    # Markers sort before the rows of their time, but only within their stretch: a trigger and
-    # the next row may share a time, so the stretch leads the order.
-    is_row = "__row"
-    marked = labelled.withColumn(is_row, F.lit(1)).unionByName(
-        marks.select(
-            *[F.col(g).alias(k) for k, g in zip(keys, group)],
-            stretch,
-            F.timestamp_micros("__t").alias(time),
-            F.lit(0).alias(is_row),
-        ),
-        allowMissingColumns=True,
+    labelled = running_fold(df, keys, order, [Fold("__stretch", _as_flag(trigger), inclusive=False)], hot)
+
+    names = {k: f"__k{i}" for i, k in enumerate(keys)}
+    group = [*names.values(), "__stretch"]
+    times = (
+        labelled.select(*[F.col(k).alias(n) for k, n in names.items()], "__stretch", *order)
+        .groupBy(*group, F.unix_millis(time).alias("__ms"))
+        .agg(F.min(F.struct(*order)).alias("__first"))
+    )
+    chained = times.repartition(*group).sortWithinPartitions(*group, "__ms")
+    starts = chained.mapInArrow(_window_starts(group, int(seconds * 1000)), chained.schema)
+
+    markers = starts.select(
+        *[F.col(n).alias(k) for k, n in names.items()], "__first.*", F.lit(0).alias("__row")
     )
-    wider = [stretch, time, is_row, *tie_break]
-    hot_again = find_hot_keys(marked, keys, wider, split_rows) if hot else None
-    numbered = running_fold(marked, keys, wider, [Fold("__no", (F.lit(1) - F.col(is_row)).cast("long"))], hot_again)
-    return numbered.where(F.col(is_row) == 1).select(*df.columns, (F.col("__no") - 1).alias("window_no"))
+    marked = df.withColumn("__row", F.lit(1)).unionByName(markers, allowMissingColumns=True)
+    windows = Fold("__windows", (F.lit(1) - F.col("__row")).cast("long"))
+    numbered = running_fold(marked, keys, [*order, "__row"], [windows], hot)
+    return numbered.where(F.col("__row") == 1).select(*df.columns, (F.col("__windows") - 1).alias("window_no"))

@@ -247,7 +247,7 @@ _UNTIL_CAPPED = _UNTIL + """,
     SELECT user_id, window_no, chunk, count(*) AS n,
         string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id) AS ids
     FROM c GROUP BY user_id, window_no, chunk HAVING bool_or(event_type = 'purchase') OR count(*) = 3"""
-# Windows of one day at most: from each start to the next row that is a day later or follows a purchase.
+# Windows of one day at most, by the millisecond: from each start to the next row that is a day later or follows a purchase.
 _UNTIL_TIMEOUT = """
     WITH RECURSIVE e AS (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos,
@@ -257,7 +257,7 @@ _UNTIL_TIMEOUT = """
         SELECT user_id, pos, ts, 0::BIGINT AS window_no FROM e WHERE pos = 1
         UNION ALL
         SELECT s.user_id, min(e.pos), min(e.ts), min(s.window_no) + 1
-        FROM s JOIN e ON e.user_id = s.user_id AND e.pos > s.pos AND (e.fresh OR e.ts >= s.ts + INTERVAL '1 day')
+        FROM s JOIN e ON e.user_id = s.user_id AND e.pos > s.pos AND (e.fresh OR epoch_ms(e.ts) >= epoch_ms(s.ts) + 86400000)
         GROUP BY s.user_id)
     SELECT e.user_id, e.event_id, max(s.window_no) AS window_no
     FROM e JOIN s ON e.user_id = s.user_id AND s.pos <= e.pos GROUP BY e.user_id, e.event_id"""
@@ -504,7 +504,7 @@ def stream_conditional_window_capped(spark, folder):
     t AS (SELECT w.user_id, w.window_no, min(ts) AS first, bool_or(event_type = 'purchase') AS bought
           FROM w JOIN events USING (event_id) GROUP BY ALL)
     SELECT w.user_id, w.event_id, w.window_no FROM w JOIN t USING (user_id, window_no)
-    WHERE bought OR first + INTERVAL '1 day' < (SELECT max(ts) FROM events)""")
+    WHERE bought OR epoch_ms(first) + 86400000 <= (SELECT epoch_ms(max(ts)) FROM events)""")
 def stream_conditional_window_timeout(spark, folder):
     return _stream_until(spark, folder, seconds=86_400).select("user_id", "event_id", "window_no")
 

@@ -60,8 +60,8 @@ def _frames(key: tuple, parts: Iterator[Part]) -> Iterator[pd.DataFrame]:
 class _Until(StatefulProcessor):
     """Buffers a key's rows and emits them when the trigger, the cap or the time limit is met."""
 
-    def __init__(self, order: list[str], max_events: int | None, micros: int | None):
-        self.order, self.max_events, self.micros = order, max_events, micros
+    def __init__(self, order: list[str], max_events: int | None, millis: int | None):
+        self.order, self.max_events, self.millis = order, max_events, millis
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -83,15 +83,12 @@ class _Until(StatefulProcessor):
         if len(bodies):
             yield bodies, window_no, buffered
 
-    def _deadline_ms(self, first: int) -> int:
-        return -(-(first + self.micros) // 1000)
-
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         yield from _frames(key, self._take_in(in_order(rows, self.order)))
 
     def _take_in(self, pdf: pd.DataFrame) -> Iterator[Part]:
         bodies, triggers = pdf[BODY].to_numpy(), np.flatnonzero(pdf["flag"].to_numpy())
-        times = pdf["time"].to_numpy() if self.micros else None
+        times = pdf["time"].to_numpy() if self.millis else None
         buffered, first, window_no = self._open_window()
         timer = first if buffered else None
 
@@ -103,9 +100,9 @@ class _Until(StatefulProcessor):
                 ends.append(int(triggers[following]) + 1)
             if self.max_events and start + self.max_events - buffered <= size:
                 ends.append(start + self.max_events - buffered)
-            if self.micros:
+            if self.millis:
                 first = first if buffered else int(times[start])
-                too_late = start + int(np.searchsorted(times[start:], first + self.micros))
+                too_late = start + int(np.searchsorted(times[start:], first + self.millis))
                 if too_late < size:
                     ends.append(too_late)
             end = min(ends, default=size)
@@ -119,16 +116,16 @@ class _Until(StatefulProcessor):
             start = end
 
         self.counters.update((buffered, first, window_no))
-        if self.micros:
+        if self.millis:
             needed = first if buffered else None
             if timer is not None and timer != needed:
-                self.handle.deleteTimer(self._deadline_ms(timer))
+                self.handle.deleteTimer(timer + self.millis)
             if needed is not None and timer != needed:
-                self.handle.registerTimer(self._deadline_ms(needed))
+                self.handle.registerTimer(needed + self.millis)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         buffered, first, window_no = self._open_window()
-        if buffered and self._deadline_ms(first) <= expiredTimerInfo.getExpiryTimeInMs():
+        if buffered and first + self.millis <= expiredTimerInfo.getExpiryTimeInMs():
             self.counters.update((0, 0, window_no + 1))
             yield from _frames(key, self._emit(buffered, (), window_no))
 
@@ -149,21 +146,22 @@ def windows_until_stream(
     """Rows of each window as it closes: keys, ``window_no``, ``place`` in it, ``fields``.
 
     A window ends with a row for which ``trigger`` holds, or at ``max_events`` rows, or
-    ``seconds`` of event time after its first row (a stream with a watermark on ``time``, and
-    ``order`` led by it). Rows of one window all come out in one micro-batch.
+    ``seconds`` of event time, in whole milliseconds, after its first row (a stream with a
+    watermark on ``time``, and ``order`` led by it). Rows of one window all come out in one micro-batch.
 
     ``order`` sorts the rows of a key within a micro-batch: event time, or ``partition`` and
     ``offset`` of a topic. They are sorted in memory, so bound micro-batches at the source.
-    Open windows are in the state store on disk, and are read and emitted piece by piece.
+    Open windows are in the state store on disk, and are read and emitted piece by piece; a key
+    without one keeps three numbers there.
     Start it under ``stateful_settings``.
     """
     extra = {"flag": F.coalesce(trigger, F.lit(False))}
     if seconds:
         # the column under the watermark must go along for its timers to fire
-        extra |= {"time": F.unix_micros(time), "watermarked": F.col(time)}
+        extra |= {"time": F.unix_millis(F.col(time)), "watermarked": F.col(time)}
     packed, by = pack(df, keys, order, fields, **extra)
     emitted = packed.groupBy(KEY).transformWithStateInPandas(
-        _Until(by, max_events, int(seconds * 1_000_000) if seconds else None),
+        _Until(by, max_events, int(seconds * 1000) if seconds else None),
         f"{KEY} string, window_no bigint, place bigint, {BODY} string",
         outputMode="Append",
         timeMode="EventTime" if seconds else "None",
