@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_running import skewed_rows
-from test_until import simulate
+from test_until import simulate, windows_of
 
 from tidewheel import sources
 from tidewheel.operators import count_by, running_count, tumbling_last, with_event_time
@@ -16,6 +16,8 @@ from tidewheel.streaming import (
     append_to_table,
     latest_to_table,
     running_count_stream,
+    running_total_by_batch,
+    windows_until_by_batch,
     windows_until_stream,
 )
 
@@ -104,6 +106,35 @@ def test_until(spark, rows, folder):
     assert {(r["id"], r["ts"]) for r in got.collect()} <= {(r[2], r[1]) for r in rows}
 
 
+@pytest.mark.parametrize("split_rows", [10**9, 40])
+def test_by_batch(spark, rows, folder, split_rows):
+    def build():
+        return stream_of(spark, folder)
+
+    counted = running_total_by_batch(build, spark, ["k"], ["ts", "id"], "cnt", split_rows=split_rows)
+    want = running_count(spark.createDataFrame(rows, ROW), ["k"], ["ts", "id"])
+    assert sorted(map(str, counted.collect())) == sorted(map(str, want.collect()))
+    done = windows_until_by_batch(build, spark, ["k"], ["ts", "id"], "flag", split_rows=split_rows)
+    assert windows_of(done) == simulate(rows)
+
+
+def test_by_batch_goes_on_from_the_checkpoint(spark):
+    inbox, folder = new_folder(spark, "in"), new_folder(spark, "out")
+
+    def run(*data):
+        if data:
+            spark.createDataFrame(data, "k string, i int").coalesce(1).write.mode("append").parquet(inbox)
+        build = lambda: stream_of(spark, inbox, "k string, i int")
+        out = running_total_by_batch(build, spark, ["k"], ["i"], "cnt", folder=folder)
+        return sorted((r["k"] or "", r["i"], r["cnt"]) for r in out.collect())
+
+    first = [("", 3, 1), ("a", 1, 1), ("a", 2, 2)]
+    assert run(("a", 1), ("a", 2), (None, 3)) == first
+    assert run() == first
+    assert run(("a", 0), (None, 4)) == sorted([*first, ("a", 0, 3), ("", 4, 2)])
+    assert run(("b", 9), ("a", 7))[-1] == ("b", 9, 1)
+
+
 @pytest.mark.parametrize("cap", [1, 4])
 def test_capped(spark, rows, folder, cap):
     def build():

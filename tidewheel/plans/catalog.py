@@ -35,13 +35,22 @@ from tidewheel.operators import (
 from tidewheel.plans import jobs
 from tidewheel.sources import read_table, stream_table
 from tidewheel.storage import new_folder
-from tidewheel.streaming import append_to_table, latest_to_table, running_count_stream, windows_until_stream
+from tidewheel.streaming import (
+    append_to_table,
+    latest_to_table,
+    running_count_stream,
+    running_total_by_batch,
+    windows_until_by_batch,
+    windows_until_stream,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# Bounds of a micro-batch over a stored table.
+# Bounds of a micro-batch over a stored table; the lower one where a key's rows of a micro-batch
+# are sorted in the memory of one task.
 LIMITS = {"maxBytesPerTrigger": str(256 << 30)}
+STATEFUL_LIMITS = {"maxBytesPerTrigger": str(1 << 30)}
 PURCHASE = "event_type = 'purchase'"
 IN_ORDER = ["ts", "event_id"]
 # A split this small makes large keys of the small tables hot, to put the cut form to the test.
@@ -420,8 +429,8 @@ def _unzoned(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
 
 
-def _event_stream(spark, folder, *columns: str) -> DataFrame:
-    events = stream_table(spark, folder, "events", **LIMITS).select(*columns)
+def _event_stream(spark, folder, *columns: str, limits=LIMITS) -> DataFrame:
+    events = stream_table(spark, folder, "events", **limits).select(*columns)
     return events.withColumn("ts", _zoned("ts")) if "ts" in columns else events
 
 
@@ -445,12 +454,23 @@ def stream_word_count(spark, folder):
 @query(_RUNNING)
 def stream_running_count(spark, folder):
     def build():
-        events = _event_stream(spark, folder, "event_id", "event_type", "ts")
+        events = _event_stream(spark, folder, "event_id", "event_type", "ts", limits=STATEFUL_LIMITS)
         return running_count_stream(events, ["event_type"], IN_ORDER).drop("ts")
 
     return append_to_table(build, spark)
 
 
+@query(_RUNNING)
+def stream_running_count_hot_keys(spark, folder):
+    """Micro-batches of any size and keys of any size: five keys hold all rows, each is cut."""
+
+    def build():
+        return _event_stream(spark, folder, "event_id", "event_type", "ts")
+
+    counted = running_total_by_batch(build, spark, ["event_type"], IN_ORDER, "cnt", split_rows=SMALL_SPLIT)
+    return counted.drop("ts")
+
+
 # Append mode gives a window once the watermark, the latest time less the delay, is past its end.
 @query("SELECT * FROM (" + _HOURLY_LAST + """)
     WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 seconds'""")
@@ -473,12 +493,12 @@ def stream_tumbling_window_update(spark, folder):
     return latest_to_table(build, spark, ["window_start"])
 
 
-def _stream_until(spark, folder, **limits) -> DataFrame:
+def _stream_until(spark, folder, **ends) -> DataFrame:
     def build():
-        events = _event_stream(spark, folder, "user_id", "event_id", "event_type", "ts")
-        if "seconds" in limits:
+        events = _event_stream(spark, folder, "user_id", "event_id", "event_type", "ts", limits=STATEFUL_LIMITS)
+        if "seconds" in ends:
             events = with_event_time(events, F.col("ts"), "0 seconds")
-        return windows_until_stream(events, ["user_id"], IN_ORDER, F.expr(PURCHASE), ["event_id"], **limits)
+        return windows_until_stream(events, ["user_id"], IN_ORDER, F.expr(PURCHASE), ["event_id"], **ends)
 
     return append_to_table(build, spark)
 
@@ -492,6 +512,14 @@ def stream_conditional_window(spark, folder):
     return _stream_lists(_stream_until(spark, folder))
 
 
+@query(_UNTIL_LISTS)
+def stream_conditional_window_by_batch(spark, folder):
+    def build():
+        return _event_stream(spark, folder, "user_id", "event_id", "event_type", "ts")
+
+    return _lists(windows_until_by_batch(build, spark, ["user_id"], IN_ORDER, PURCHASE))
+
+
 # The stream numbers a key's windows through, whatever closed them.
 @query("SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY window_no, chunk) - 1 AS window_no, n, ids FROM ("
        + _UNTIL_CAPPED + ")")
@@ -559,7 +587,7 @@ def stream_topic_windows(spark, folder):
     """The whole topic-to-topic chain: parse, gather per patient until the condition, JSON lists."""
 
     def build():
-        messages = _topic_rows(stream_table(spark, folder, "events", **LIMITS))
+        messages = _topic_rows(stream_table(spark, folder, "events", **STATEFUL_LIMITS))
         return jobs.patient_windows(messages, "purchase")
 
     return jobs.patient_window_messages(append_to_table(build, spark))

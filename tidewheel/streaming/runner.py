@@ -55,13 +55,14 @@ def to_end(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def table_at(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table that a stream has written, empty if the stream had nothing to write yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)  # the source held no file at all
+        return spark.createDataFrame([], schema)
 
 
 def append_to_table(
@@ -83,7 +84,7 @@ def append_to_table(
             .start(f"{folder}/rows")
         )
     to_end(query)
-    return _table(spark, f"{folder}/rows", stream.schema)
+    return table_at(spark, f"{folder}/rows", stream.schema)
 
 
 def latest_to_table(
@@ -115,5 +116,5 @@ def latest_to_table(
     to_end(query)
     schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
     rest = [c for c in stream.columns if c not in keys]
-    versions = _table(spark, f"{folder}/rows", schema)
+    versions = table_at(spark, f"{folder}/rows", schema)
     return versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("v")).select(*keys, "v.*")
