@@ -58,13 +58,13 @@ def stream_windows(df):
 
 
 def test_word_count_over_micro_batches(spark, tmp_path):
-    lines = ["hello flink", "hello java", "hello Duke", "Great hello", "nothing else mater"]
+    lines = ["hello stream", "hello java", "hello Duke", "Great hello", "nothing else mater"]
     for i, line in enumerate(lines):
         (tmp_path / f"{i}.txt").write_text(line)
     watched = latest_to_table(
         lambda: jobs.word_count(sources.watch_lines(spark, str(tmp_path), maxFilesPerTrigger=2)), spark, ["word"]
     )
-    expected = {"duke": 1, "else": 1, "flink": 1, "great": 1, "hello": 4, "java": 1, "mater": 1, "nothing": 1}
+    expected = {"duke": 1, "else": 1, "stream": 1, "great": 1, "hello": 4, "java": 1, "mater": 1, "nothing": 1}
     assert {r["word"]: r["cnt"] for r in watched.collect()} == expected
     bounded = jobs.word_count(sources.read_lines(spark, str(tmp_path)))
     assert {r["word"]: r["cnt"] for r in bounded.collect()} == expected
@@ -78,11 +78,11 @@ def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
         lines = lambda: jobs.word_count(sources.watch_lines(spark, str(inbox)))
         return {r["word"]: r["cnt"] for r in latest_to_table(lines, spark, ["word"], folder).collect()}
 
-    (inbox / "a.txt").write_text("hello flink\nhello java\n")
-    assert run() == {"hello": 2, "flink": 1, "java": 1}
+    (inbox / "a.txt").write_text("hello stream\nhello java\n")
+    assert run() == {"hello": 2, "stream": 1, "java": 1}
     (inbox / "b.txt").write_text("hello Duke\nGreat hello\n")
-    assert run() == {"hello": 4, "flink": 1, "java": 1, "duke": 1, "great": 1}
-    assert run() == {"hello": 4, "flink": 1, "java": 1, "duke": 1, "great": 1}
+    assert run() == {"hello": 4, "stream": 1, "java": 1, "duke": 1, "great": 1}
+    assert run() == {"hello": 4, "stream": 1, "java": 1, "duke": 1, "great": 1}
 
 
 def test_empty_source(spark, tmp_path):
@@ -271,10 +271,10 @@ def test_topic_to_topic_is_one_to_one(spark):
 
 def test_watched_text_folder(spark, tmp_path):
     for i in range(3):
-        (tmp_path / f"{i}.txt").write_text("hello flink\nhello java\n" if i % 2 == 0 else "hello Duke\nGreat hello\n")
+        (tmp_path / f"{i}.txt").write_text("hello stream\nhello java\n" if i % 2 == 0 else "hello Duke\nGreat hello\n")
     got = append_to_table(lambda: sources.watch_lines(spark, str(tmp_path)), spark).collect()
     assert len(got) == 6
-    assert {r["value"] for r in got} == {"hello flink", "hello java", "hello Duke", "Great hello"}
+    assert {r["value"] for r in got} == {"hello stream", "hello java", "hello Duke", "Great hello"}
 
 
 def test_watched_people(spark, tmp_path):
