@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from test_running import skewed_rows
 from test_until import simulate, windows_of
 
-from tidewheel import sources
+from tidewheel import sinks, sources
 from tidewheel.operators import count_by, running_count, tumbling_last, with_event_time
 from tidewheel.plans import jobs
 from tidewheel.storage import new_folder
@@ -277,6 +277,15 @@ def test_watched_text_folder(spark, tmp_path):
     assert {r["value"] for r in got} == {"hello stream", "hello java", "hello Duke", "Great hello"}
 
 
+def test_bytes_bound_a_micro_batch(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.txt").write_text("a\nb\n")
+    sizes, lines = [], sources.watch_lines(spark, str(tmp_path), maxBytesPerTrigger="1")
+    query = sinks.each_batch(lines, lambda b, _: sizes.append(b.count()), new_folder(spark, "ck"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert sizes == [2, 2, 2]
+
+
 def test_watched_people(spark, tmp_path):
     names = ["Duke", "Spiderman", "Superman", "Batman", "Duke"]
     for f in range(2):

@@ -331,6 +331,9 @@ def test_a_cluster_without_shared_folder_is_refused():
     class Context:
         master = "yarn"
 
+        def getCheckpointDir(self):
+            return None
+
     class Session:
         conf, sparkContext = Conf(), Context()
 

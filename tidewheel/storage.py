@@ -11,13 +11,13 @@ _local_root: tempfile.TemporaryDirectory | None = None
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or the checkpoint folder of the session.
 
     Only a local session may go without that setting; it gets a temporary folder.
     On a cluster a machine-local folder would lose data with its machine, so there
     the setting is required.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -82,12 +82,11 @@ def windows_until_by_batch(
     """Rows of the windows that the stream finished, with ``window_no`` as ``windows_until`` has it.
 
     ``trigger`` is an SQL condition. Each row is labelled and written once, when it comes: its
-    window is the number of triggers before it, which does not change any more. Windows in
-    which no trigger came are left out when reading.
+    window is the number of triggers before it, which does not change any more. Rows after a
+    key's last trigger are left out when reading.
     """
     flag = F.coalesce(F.expr(trigger).cast("long"), F.lit(0))
     rows = running_total_by_batch(build, spark, keys, order, "window_no", flag, False, folder, split_rows)
-    window = [*keys, "window_no"]
-    closed = rows.where(F.expr(trigger)).select(*[F.col(c).alias(f"__{c}") for c in window])
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in window]
-    return rows.join(closed, same, "left_semi")
+    hot = find_hot_keys(rows, keys, order, split_rows)
+    totals = running_fold(rows, keys, order, [Fold("__windows", flag, whole=True)], hot)
+    return totals.where(F.col("window_no") < F.col("__windows")).drop("__windows")
