@@ -1,5 +1,8 @@
 """Words, lines, records, files and sinks: golden fixtures and edge cases."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +69,38 @@ def test_words_of_a_line(spark, line, normalised, plain):
     assert values(split_words(df), "word") == plain
 
 
+def test_words_like_a_loop_would_find_them(spark):
+    """Random lines against the rules spelled out one character class at a time."""
+    rng, space = random.Random(3), " \t\n\r\f\x0b"
+    pool = "aZ09é-'.ß" + space * 2
+    data = ["".join(rng.choice(pool) for _ in range(rng.randrange(12))) for _ in range(3000)]
+
+    def plain(line):
+        words, word, in_space = [], "", False
+        for c in line:
+            if c in space:
+                if not in_space:
+                    words.append(word)
+                word, in_space = "", True
+            else:
+                word, in_space = word + c, False
+        words.append(word)
+        if words == [""]:
+            return words
+        while words and words[-1] == "":
+            words.pop()
+        return words
+
+    def normalised(line):
+        kept = ["".join(c for c in w.lower() if c in "abcdefghijklmnopqrstuvwxyz0123456789") for w in plain(line)]
+        return [w for w in kept if w]
+
+    df = spark.createDataFrame(list(enumerate(data)), "i int, value string")
+    for tokens, rule in [(tokenize, normalised), (split_words, plain)]:
+        got = Counter(values(tokens(df), "word"))
+        assert got == Counter(w for line in data for w in rule(line))
+
+
 def test_word_counts(spark, tmp_path):
     (tmp_path / "input.txt").write_text("\n".join(LINES))
     df = sources.read_lines(spark, str(tmp_path / "input.txt"))
@@ -166,6 +201,17 @@ def test_topic_options():
     assert full["maxOffsetsPerTrigger"] == "1000" and full["minPartitions"] == "64"
 
 
+def test_topics_need_only_the_connector(spark):
+    from pyspark.errors import AnalysisException
+
+    for source in (sources.read_topic, sources.watch_topic):
+        with pytest.raises(AnalysisException, match="kafka"):
+            source(spark, "h:9092", "t")
+    with pytest.raises(AnalysisException, match="kafka"):
+        sinks.write_topic(lines(spark, ["x"]), "h:9092", "t")
+    assert sinks.stream_to_topic(sources.rate_stream(spark), "h:9092", "t", "/nowhere") is not None
+
+
 def test_generated_and_socket_sources_are_streams(spark):
     assert sources.rate_stream(spark, 5).isStreaming
     assert jobs.socket_upper(spark, "localhost", 9999).isStreaming  # nothing connects before the start
@@ -220,6 +266,10 @@ def test_latest_location(spark):
     df = spark.createDataFrame(data, "id string, lat double, seq int")
     latest = latest_by_key(df, ["id"], ["seq"], ["lat"]).collect()
     assert {r["id"]: r["lat"] for r in latest} == {"123": 38.7170, "456": 41.1496, None: 1.0}
+    both = latest_by_key(df, ["id"], ["seq", "lat"], ["lat", "seq"]).collect()
+    assert {r["id"]: (r["lat"], r["seq"]) for r in both} == {"123": (38.7170, 3), "456": (41.1496, 2), None: (1.0, 4)}
+    plan = latest_by_key(df, ["id"], ["seq"], ["lat"])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_average_location(spark):
@@ -239,6 +289,17 @@ def test_windows_sum_count_average_and_slide(spark):
     assert [r["n"] for r in slid] == [1, 3, 4, 3, 1]
 
 
+def test_window_bounds_are_those_of_sql(spark):
+    data = [(None,), (-1,), (0,), (2_999,), (3_000,), (10**12 + 7,)]
+    df = spark.createDataFrame(data, "ms bigint").select(F.timestamp_millis("ms").alias("ts"))
+    own = tumbling(df, "3 seconds", [F.count("*").alias("n")])
+    sql = df.groupBy(F.window("ts", "3 seconds").alias("w")).agg(F.count("*").alias("n"))
+    sql = sql.select(F.col("w.start"), F.col("w.end"), "n")
+    assert own.columns == ["window_start", "window_end", "n"]
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, sql.collect()))
+    assert sum(r["n"] for r in own.collect()) == 5  # a row without time is in no window
+
+
 # --- layout ---
 
 

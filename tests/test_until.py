@@ -92,6 +92,15 @@ def test_timeout_across_arrow_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_plain_form_shuffles_once(spark):
+    df = spark.createDataFrame(skewed_rows(100, no_time=0.0), SCHEMA)
+    capped = windows_until_capped(df, ["k"], ["ts", "id"], F.col("flag"), 3)
+    for rows, by in [(windows_until(df, ["k"], ["ts", "id"], F.col("flag")), ()), (capped, ("chunk",))]:
+        lists = gather_windows(rows, ["k"], ["ts", "id"], ["id"], ("window_no", *by))
+        plan = lists._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Python" not in plan
+
+
 def test_waiting_rows_are_dropped_before_the_lists(spark):
     """A key that never meets the condition must not be gathered only to be thrown away."""
     data = [("never", START + dt.timedelta(seconds=i), i, False) for i in range(2000)]

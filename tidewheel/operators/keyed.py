@@ -14,9 +14,17 @@ def count_by(df: DataFrame, *keys: str, name: str = "cnt") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
+def one_or_struct(columns: Sequence[str]) -> Column:
+    """What to compare or carry several columns as. A single number or time stays as it is, which
+    lets Spark aggregate by hash; structs and strings make it sort first."""
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
     """The ``values`` of each key's last row by ``order``; also combined before the shuffle."""
-    last = F.max_by(F.struct(*values), F.struct(*order)).alias("last")
+    if len(values) == 1:
+        return df.groupBy(*keys).agg(F.max_by(values[0], one_or_struct(order)).alias(values[0]))
+    last = F.max_by(F.struct(*values), one_or_struct(order)).alias("last")
     return df.groupBy(*keys).agg(last).select(*keys, "last.*")
 
 
