@@ -42,7 +42,11 @@ def windows_until(
 
 
 def gather_windows(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], by: Sequence[str] = ("window_no",)
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    fields: Sequence[str],
+    by: Sequence[str] = ("window_no",),
 ) -> DataFrame:
     """One row per window: its number of rows ``n`` and its ``events`` in order.
 

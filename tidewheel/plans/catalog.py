@@ -256,7 +256,8 @@ _UNTIL_CAPPED = _UNTIL + """,
     SELECT user_id, window_no, chunk, count(*) AS n,
         string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id) AS ids
     FROM c GROUP BY user_id, window_no, chunk HAVING bool_or(event_type = 'purchase') OR count(*) = 3"""
-# Windows of one day at most, by the millisecond: from each start to the next row that is a day later or follows a purchase.
+# Windows of one day at most, by the millisecond: from each start to the next row that is a day
+# later or follows a purchase.
 _UNTIL_TIMEOUT = """
     WITH RECURSIVE e AS (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos,
@@ -266,7 +267,8 @@ _UNTIL_TIMEOUT = """
         SELECT user_id, pos, ts, 0::BIGINT AS window_no FROM e WHERE pos = 1
         UNION ALL
         SELECT s.user_id, min(e.pos), min(e.ts), min(s.window_no) + 1
-        FROM s JOIN e ON e.user_id = s.user_id AND e.pos > s.pos AND (e.fresh OR epoch_ms(e.ts) >= epoch_ms(s.ts) + 86400000)
+        FROM s JOIN e ON e.user_id = s.user_id AND e.pos > s.pos
+            AND (e.fresh OR epoch_ms(e.ts) >= epoch_ms(s.ts) + 86400000)
         GROUP BY s.user_id)
     SELECT e.user_id, e.event_id, max(s.window_no) AS window_no
     FROM e JOIN s ON e.user_id = s.user_id AND s.pos <= e.pos GROUP BY e.user_id, e.event_id"""
@@ -521,8 +523,9 @@ def stream_conditional_window_by_batch(spark, folder):
 
 
 # The stream numbers a key's windows through, whatever closed them.
-@query("SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY window_no, chunk) - 1 AS window_no, n, ids FROM ("
-       + _UNTIL_CAPPED + ")")
+@query("""
+    SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY window_no, chunk) - 1 AS window_no, n, ids
+    FROM (""" + _UNTIL_CAPPED + ")")
 def stream_conditional_window_capped(spark, folder):
     return _stream_lists(_stream_until(spark, folder, max_events=3))
 
