@@ -7,7 +7,7 @@ run, which is why a level costs an eighth of a row for each word, not one.
 
 1. Level 5: the runs of all texts; those stay whose 5-word window occurs in two runs.
 2. Level 10: only windows left are read again and grouped by their 10-word window, with a hash of all words of the
-   run. A run whose words are those of an earlier run is wholly repeated. Of equal runs the first goes on, if other
+   run; those stay whose 10-word window occurs in two runs. A run whose words are those of an earlier run is wholly repeated. Of equal runs the first goes on, if other
    runs have its 10-word window too; all else is unique.
 3. Level 20: the windows of those runs, one by one; any but the first of equal ones is repeated.
 
@@ -158,6 +158,12 @@ def _cut(length: int, digest: bool) -> Callable:
     return run
 
 
+def _repeated(found: DataFrame) -> DataFrame:
+    """The rows whose value another row has too."""
+    twice = found.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value")
+    return found.join(twice, "value", "left_semi")
+
+
 def _by_text(runs: DataFrame) -> DataFrame:
     """One row for each text with the list of its runs, which is as long as the text at most."""
     mark = F.shiftright("at", PLACE_BITS).alias("mark")
@@ -202,15 +208,15 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, digest: bool = Fa
         return docs.join(runs, _same_text(docs, runs), how).select(*[docs[c] for c in docs.columns], runs["runs"])
 
     found = docs.mapInArrow(_first_level(length, quarter), schema("value", doc_id, "at", "n"))
-    twice = found.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value")
-    left = _by_text(found.join(twice, "value", "left_semi"))
+    left = _by_text(_repeated(found))
 
-    found = texts_with(left, "inner").mapInArrow(_second_level(length, half), schema("value", "words", doc_id, "at", "n"))
+    found = _repeated(texts_with(left, "inner").mapInArrow(_second_level(length, half), schema("value", "words", doc_id, "at", "n")))
     order = F.struct("doc_id", "at", "n")
     equal = found.groupBy("value", "words").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("c"))
     again = found.join(equal.where("c > 1").select("value", "words", "first"), ["value", "words"])
     again = again.where("struct(doc_id, at, n) > first").select("doc_id", "at", "n")
-    several = equal.groupBy("value").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("value")
+    # counted over all columns of ``equal``, so that one shuffle serves its three uses
+    several = equal.groupBy("value").agg(F.count_if((F.col("c") > 0) & F.col("first").isNotNull()).alias("kinds")).where("kinds > 1").select("value")
     open_runs = equal.join(several, "value", "left_semi").select("first.*")
 
     found = texts_with(_by_text(open_runs), "inner").mapInArrow(_last_level(length), schema("value", "words", doc_id, "at"))
