@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,10 @@ LENGTH = 20
 #: ``at`` is the text's mark above these bits and a word's place in the text below them.
 PLACE_BITS = 32
 _PLACE = (1 << PLACE_BITS) - 1
+#: A run in a text's list is its place above these bits and its number of windows below them.
+RUN_BITS = 16
+#: Stands for a null doc_id: first in order.
+NO_ID = -(1 << 63)
 
 
 def _least(grams: np.ndarray, width: int) -> np.ndarray:
@@ -78,15 +82,16 @@ def _of_rows(batch: pa.RecordBatch, chunk: Chunk, index: np.ndarray) -> tuple[pa
 
 
 def _listed(batch: pa.RecordBatch, chunk: Chunk, name: str) -> np.ndarray:
-    """Which words of the chunk lie at a place listed in the column ``name`` of (place, n): windows start there."""
+    """Which words of the chunk start windows of the runs listed in the column ``name``."""
     lists = batch.column(name).slice(chunk.first, chunk.rows)
     sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
     runs = lists.flatten()
     change = np.zeros(len(chunk.words) + 1, np.int64)
     if len(runs):
-        start = runs.field(0).to_numpy(zero_copy_only=False) + np.repeat(chunk.bounds[:-1], sizes)
+        runs = runs.to_numpy(zero_copy_only=False).astype(np.int64)
+        start = (runs >> RUN_BITS) + np.repeat(chunk.bounds[:-1], sizes)
         np.add.at(change, start, 1)
-        np.add.at(change, start + runs.field(1).to_numpy(zero_copy_only=False), -1)
+        np.add.at(change, start + (runs & ((1 << RUN_BITS) - 1)), -1)
     return np.cumsum(change)[:-1] > 0
 
 
@@ -167,12 +172,8 @@ def _repeated(found: DataFrame) -> DataFrame:
 def _by_text(runs: DataFrame) -> DataFrame:
     """One row for each text with the list of its runs, which is as long as the text at most."""
     mark = F.shiftright("at", PLACE_BITS).alias("mark")
-    place = F.col("at").bitwiseAND(_PLACE).alias("place")
-    return runs.select("doc_id", mark, F.struct(place, F.col("n").cast("int").alias("n")).alias("run")).groupBy("doc_id", "mark").agg(F.collect_list("run").alias("runs"))
-
-
-def _same_text(a: DataFrame, b: DataFrame) -> Column:
-    return (a["mark"] == b["mark"]) & a["doc_id"].eqNullSafe(b["doc_id"])
+    run = F.shiftleft(F.col("at").bitwiseAND(_PLACE), RUN_BITS) + F.col("n")
+    return runs.select("doc_id", mark, run.alias("run")).groupBy("doc_id", "mark").agg(F.collect_list("run").alias("runs"))
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, digest: bool = False) -> DataFrame:
@@ -185,7 +186,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, digest: bool = Fa
     ``digest`` the SHA-256 of the words left instead, and then no other columns than doc_id are carried.
 
     Null texts and texts without words have 0 words and stay as they are; so do texts below ``length`` words. Null
-    doc_ids come first. Rows that repeat a doc_id with the same text are one document (each is answered alike); with
+    doc_ids come first (doc_id is a long above the least one). Rows that repeat a doc_id with the same text are one document (each is answered alike); with
     other texts they are different documents, in order of a hash of the text. An empty table gives an empty table.
     """
     quarter, half = length // 4, length // 2
@@ -193,7 +194,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, digest: bool = Fa
         raise ValueError("length is 4 at least")
     others = [] if digest else [c for c in documents.columns if c not in ("doc_id", "text", "n_words", "n_removed", "kept")]
     docs = documents.select(
-        "doc_id",
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
         "text",
         F.xxhash64("text").bitwiseAND((1 << 31) - 1).alias("mark"),
         *([F.struct(*[documents[c] for c in others]).alias("carried")] if others else []),
@@ -202,10 +203,11 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, digest: bool = Fa
     long = T.LongType()
 
     def schema(*fields: T.StructField | str) -> T.StructType:
-        return T.StructType([T.StructField(f, T.IntegerType() if f == "n" else long) if isinstance(f, str) else f for f in fields])
+        # never null: else joins add filters, each its own, and equal shuffles are no longer seen as equal
+        return T.StructType([T.StructField(f, T.IntegerType() if f == "n" else long, False) if isinstance(f, str) else f for f in fields])
 
     def texts_with(runs: DataFrame, how: str) -> DataFrame:
-        return docs.join(runs, _same_text(docs, runs), how).select(*[docs[c] for c in docs.columns], runs["runs"])
+        return docs.join(runs, ["doc_id", "mark"], how).select(*docs.columns, "runs")
 
     found = docs.mapInArrow(_first_level(length, quarter), schema("value", doc_id, "at", "n"))
     left = _by_text(_repeated(found))
@@ -227,4 +229,4 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, digest: bool = Fa
     carried = [docs.schema["carried"]] if others else []
     result = schema(doc_id, *carried, "n_words", "n_removed", T.StructField("kept", T.StringType()))
     out = texts_with(_by_text(again.union(more)), "left").mapInArrow(_cut(length, digest), result)
-    return out.select("doc_id", *[F.col("carried").getField(c).alias(c) for c in others], "n_words", "n_removed", "kept")
+    return out.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), *[F.col("carried").getField(c).alias(c) for c in others], "n_words", "n_removed", "kept")
