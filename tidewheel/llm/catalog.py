@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewheel.llm import contamination, jaccard, packing, quality, sharding, substrings, urls
+from tidewheel.llm import contamination, jaccard, language, packing, pages, quality, sharding, substrings, urls, vectors
 from tidewheel.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extracted(read(spark, folder, "pages"))
+
+
 @query
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
@@ -36,11 +41,23 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, folder, "documents"))
 
 
+@query
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    scored = language.scored(read(spark, folder, "documents"), language.trained_on(F.col("doc_id")))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, folder, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
 
 
+@query
+def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, folder, "embeddings"))
+
+
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))

@@ -61,6 +61,10 @@ _KEPT[0x41:0x5B] = np.arange(0x61, 0x7B)
 _KEPT[0x80:] = np.arange(0x80, 0x100)
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+
+
 @dataclass
 class Chunk:
     """Some rows of a batch: ``first`` and ``rows`` say which; ``bounds[i]`` to ``bounds[i + 1]`` are the words of the i-th."""
@@ -70,6 +74,7 @@ class Chunk:
     words: np.ndarray
     bounds: np.ndarray
     last: np.ndarray  # for each word, where the words of its text end
+    ending: np.ndarray | None = None  # for each word, its last two bytes and whether it goes beyond ASCII, as a number
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The starts of all runs of ``k`` words within one text, and their hashes."""
@@ -82,11 +87,11 @@ class Chunk:
         return mix(_ranges(self.words, starts, ends, WORD_BASE) ^ (ends - starts).astype(np.uint64))
 
 
-def chunks(texts: pa.Array | pa.ChunkedArray, plain: bool = False) -> Iterator[Chunk]:
+def chunks(texts: pa.Array | pa.ChunkedArray, plain: bool = False, lower: bool = False) -> Iterator[Chunk]:
     """The words of every row (none for null), in row order.
 
     Words are runs of anything but the blanks 0x20 and 0x09 to 0x0D; if ``plain``, runs of ASCII letters in
-    lower case, digits and all beyond ASCII.
+    lower case, digits and all beyond ASCII; if ``lower``, A-Z count as a-z, and the endings of words are given.
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -105,6 +110,7 @@ def chunks(texts: pa.Array | pa.ChunkedArray, plain: bool = False) -> Iterator[C
             data = _KEPT[data]
             inside = data != 0
         else:
+            data = _LOWER[data] if lower else data
             inside = _blank(data)
         # a word also ends where its text ends
         edge = np.zeros(len(data) + 1, bool)
@@ -113,5 +119,9 @@ def chunks(texts: pa.Array | pa.ChunkedArray, plain: bool = False) -> Iterator[C
         ends = np.flatnonzero(inside & (edge[1:] | ~np.concatenate((inside[1:], [False])))) + 1
         bounds = np.searchsorted(starts, at)
         words = mix(_ranges(data.astype(np.uint64) + np.uint64(1), starts, ends, BYTE_BASE))
-        yield Chunk(first, stop - first, words, bounds, np.repeat(bounds[1:], np.diff(bounds)))
+        ending = None
+        if lower:
+            beyond = np.concatenate(([0], np.cumsum(data >= 0x80)))
+            ending = data[ends - 1].astype(np.int64) << 9 | data[np.maximum(ends - 2, starts)].astype(np.int64) << 1 | (beyond[ends] > beyond[starts])
+        yield Chunk(first, stop - first, words, bounds, np.repeat(bounds[1:], np.diff(bounds)), ending)
         first = stop
