@@ -35,6 +35,7 @@ PLACE_BITS = 32
 _PLACE = (1 << PLACE_BITS) - 1
 #: A run in a text's list is its place above these bits and its number of windows below them.
 RUN_BITS = 16
+LONGEST = 1 << 15
 #: Stands for a null doc_id: first in order.
 NO_ID = -(1 << 63)
 
@@ -70,6 +71,29 @@ def _neighbours(starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first, np.concatenate((first[1:], [len(starts)])) - 1
 
 
+def _firsts(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows are the first with their keys, and how many rows have the keys of each."""
+    n = len(keys[0])
+    order = np.lexsort((np.arange(n), *keys[::-1]))
+    new = np.ones(n, bool)
+    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    group = np.cumsum(new) - 1
+    first, count = np.zeros(n, bool), np.zeros(n, np.int64)
+    first[order] = new
+    count[order] = np.bincount(group, minlength=1)[group] if n else group
+    return first, count
+
+
+def _stretches(starts: np.ndarray, n: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """The first of each stretch of runs that follow each other with equal keys, for as many windows as a run may have."""
+    new = np.ones(len(starts), bool)
+    new[1:] = (starts[1:] != starts[:-1] + n[:-1]) | np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(starts)), 0))
+    long = (starts - starts[head]) // LONGEST
+    new[1:] |= long[1:] != long[:-1]
+    return np.flatnonzero(new)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
@@ -101,12 +125,34 @@ def _first_level(length: int, k: int) -> Callable:
             for chunk in chunks(batch.column("text")):
                 starts, place, value = _windows(chunk, length, k)
                 first, last = _neighbours(starts, place)
-                ids, at = _of_rows(batch, chunk, starts[first])
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(value[first])), ids, pa.array(at), pa.array((last - first + 1).astype(np.int32))], ["value", "doc_id", "at", "n"])
+                starts, value, n = starts[first], value[first], last - first + 1
+                # a text that says one thing over and over is one row
+                head = _stretches(starts, n, value, chunk.last[starts])
+                runs = np.diff(np.concatenate((head, [len(starts)])))
+                n = np.add.reduceat(n, head) if len(head) else n
+                ids, at = _of_rows(batch, chunk, starts[head])
+                columns = [_signed(value[head]), at, n.astype(np.int32), runs]
+                yield pa.RecordBatch.from_arrays([ids, *map(pa.array, columns)], ["doc_id", "value", "at", "n", "runs_held"])
 
     return run
 
 
+def _told(batch: pa.RecordBatch, chunk: Chunk, starts: np.ndarray, value: np.ndarray, words: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The runs of a chunk; one that its own text has already held is known to be repeated and is only told as such."""
+    row = np.searchsorted(chunk.bounds, starts, "right") - 1
+    first, count = _firsts(row, value, words)
+    again = np.flatnonzero(~first)
+    head = again[_stretches(starts[again], n[again], row[again])] if len(again) else again
+    total = np.concatenate(([0], np.cumsum(np.where(first, 0, n))))
+    stop = np.concatenate((head[1:], [len(starts)])) if len(head) else head
+    rows = np.concatenate((np.flatnonzero(first), head))
+    sizes = np.concatenate((n[first], total[stop] - total[head]))
+    sure = np.arange(len(rows)) >= first.sum()
+    ids, at = _of_rows(batch, chunk, starts[rows])
+    columns = [_signed(value[rows]), _signed(words[rows]), at, sizes.astype(np.int32), np.where(sure, 0, count[rows]), sure]
+    yield pa.RecordBatch.from_arrays([ids, *map(pa.array, columns)], ["doc_id", "value", "words", "at", "n", "runs_held", "sure"])
+
+
 def _second_level(length: int, k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,8 +162,7 @@ def _second_level(length: int, k: int) -> Callable:
                 starts, place, value = starts[left], place[left], value[left]
                 first, last = _neighbours(starts, place)
                 words = chunk.runs(starts[first], starts[last] + length)
-                ids, at = _of_rows(batch, chunk, starts[first])
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(value[first])), pa.array(_signed(words)), ids, pa.array(at), pa.array((last - first + 1).astype(np.int32))], ["value", "words", "doc_id", "at", "n"])
+                yield from _told(batch, chunk, starts[first], value[first], words, last - first + 1)
 
     return run
 
@@ -129,9 +174,7 @@ def _last_level(length: int) -> Callable:
                 starts, _, value = _windows(chunk, length, length // 2)
                 left = _listed(batch, chunk, "runs")[starts]
                 starts, value = starts[left], value[left]
-                ids, at = _of_rows(batch, chunk, starts)
-                words = chunk.runs(starts, starts + length)
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(value)), pa.array(_signed(words)), ids, pa.array(at)], ["value", "words", "doc_id", "at"])
+                yield from _told(batch, chunk, starts, value, chunk.runs(starts, starts + length), np.ones(len(starts), np.int64))
 
     return run
 
@@ -164,8 +207,8 @@ def _cut(length: int, digest: bool) -> Callable:
 
 
 def _repeated(found: DataFrame) -> DataFrame:
-    """The rows whose value another row has too."""
-    twice = found.groupBy("value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value")
+    """The rows whose value more than one run has."""
+    twice = found.groupBy("value").agg(F.sum("runs_held").alias("c")).where("c > 1").select("value")
     return found.join(twice, "value", "left_semi")
 
 
@@ -209,10 +252,12 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, digest: bool = Fa
     def texts_with(runs: DataFrame, how: str) -> DataFrame:
         return docs.join(runs, ["doc_id", "mark"], how).select(*docs.columns, "runs")
 
-    found = docs.mapInArrow(_first_level(length, quarter), schema("value", doc_id, "at", "n"))
+    found = docs.mapInArrow(_first_level(length, quarter), schema(doc_id, "value", "at", "n", "runs_held"))
     left = _by_text(_repeated(found))
 
-    found = _repeated(texts_with(left, "inner").mapInArrow(_second_level(length, half), schema("value", "words", doc_id, "at", "n")))
+    runs = schema(doc_id, "value", "words", "at", "n", "runs_held", T.StructField("sure", T.BooleanType(), False))
+    all_found = texts_with(left, "inner").mapInArrow(_second_level(length, half), runs)
+    sure, found = all_found.where("sure").select("doc_id", "at", "n"), _repeated(all_found.where("NOT sure"))
     order = F.struct("doc_id", "at", "n")
     equal = found.groupBy("value", "words").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("c"))
     again = found.join(equal.where("c > 1").select("value", "words", "first"), ["value", "words"])
@@ -221,12 +266,13 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, digest: bool = Fa
     several = equal.groupBy("value").agg(F.count_if((F.col("c") > 0) & F.col("first").isNotNull()).alias("kinds")).where("kinds > 1").select("value")
     open_runs = equal.join(several, "value", "left_semi").select("first.*")
 
-    found = texts_with(_by_text(open_runs), "inner").mapInArrow(_last_level(length), schema("value", "words", doc_id, "at"))
+    all_found = texts_with(_by_text(open_runs), "inner").mapInArrow(_last_level(length), runs)
+    sure, found = sure.union(all_found.where("sure").select("doc_id", "at", "n")), all_found.where("NOT sure")
     equal = found.groupBy("value", "words").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("c"))
     more = found.join(equal.where("c > 1").select("value", "words", "first"), ["value", "words"])
-    more = more.where("struct(doc_id, at) > first").select("doc_id", "at", F.lit(1).alias("n"))
+    more = more.where("struct(doc_id, at) > first").select("doc_id", "at", "n")
 
     carried = [docs.schema["carried"]] if others else []
     result = schema(doc_id, *carried, "n_words", "n_removed", T.StructField("kept", T.StringType()))
-    out = texts_with(_by_text(again.union(more)), "left").mapInArrow(_cut(length, digest), result)
+    out = texts_with(_by_text(again.union(more).union(sure)), "left").mapInArrow(_cut(length, digest), result)
     return out.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), *[F.col("carried").getField(c).alias(c) for c in others], "n_words", "n_removed", "kept")
