@@ -1,5 +1,6 @@
 """Words, lines, records, files and sinks: golden fixtures and edge cases."""
 
+import time
 import random
 from collections import Counter
 
@@ -22,15 +23,16 @@ from tidewheel.operators import (
     tokenize,
     tumbling,
 )
+from tidewheel.functions.text import plain_words
 from tidewheel.plans import jobs
 from tidewheel.storage import new_folder, shared_root
 from tidewheel.streaming import append_to_table
 
-LINES = ["hello stream", "hello java", "hello Duke", "Great hello", "nothing else mater"]
+LINES = ["red Kite, red", "blue kite", "RED boat", "a kite and a boat", "snow"]
 LOCATIONS = [
-    '123:{"patientId": "123", "lat": 38.7167, "lon": -9.1333}',
-    '456:{"patientId": "456", "lat": 41.1496, "lon": -8.6109}',
-    '123:{"patientId": "123", "lat": 38.7170, "lon": -9.1340}',
+    'p7:{"patientId": "p7", "lat": 10.25, "lon": 20.5}',
+    'p8:{"patientId": "p8", "lat": -4.0, "lon": 0.125}',
+    'p7:{"patientId": "p7", "lat": 10.5, "lon": 20.75}',
 ]
 
 
@@ -106,9 +108,9 @@ def test_word_counts(spark, tmp_path):
     df = sources.read_lines(spark, str(tmp_path / "input.txt"))
     assert values(df) == LINES
     counts = {r["word"]: r["cnt"] for r in jobs.word_count(df).collect()}
-    assert counts == {"duke": 1, "else": 1, "stream": 1, "great": 1, "hello": 4, "java": 1, "mater": 1, "nothing": 1}
+    assert counts == {"red": 3, "kite": 3, "blue": 1, "boat": 2, "a": 2, "and": 1, "snow": 1}
     plain = {r["word"]: r["cnt"] for r in jobs.plain_word_count(df).collect()}
-    assert plain == {"Duke": 1, "else": 1, "stream": 1, "Great": 1, "hello": 4, "java": 1, "mater": 1, "nothing": 1}
+    assert plain == {"red": 2, "Kite,": 1, "blue": 1, "kite": 2, "RED": 1, "boat": 2, "a": 2, "and": 1, "snow": 1}
     assert jobs.prefix_line_count(df).collect() == []
 
 
@@ -120,8 +122,8 @@ def test_word_count_combines_before_its_one_shuffle(spark):
 
 
 def test_row_maps(spark):
-    assert values(jobs.hello(spark, ["Hello", "from", "a", "Stream", "Java 21"])) == [
-        "HELLO", "FROM", "A", "STREAM", "JAVA 21",
+    assert values(jobs.hello(spark, ["Red", "kite 9", "x"])) == [
+        "RED", "KITE 9", "X",
     ]
     letters = lines(spark, list("abcdefgh"))
     expected = [f"[{c}] => {c.upper()}" for c in "abcdefgh"]
@@ -132,8 +134,8 @@ def test_row_maps(spark):
 def test_row_count_contract(spark):
     df = lines(spark, LINES)
     assert jobs.letters(df).count() == len(LINES)  # map: one to one
-    assert split_words(df).count() == 11  # flat map: one to many
-    assert lines_starting_with(df, "h").count() == 3  # filter: none or one
+    assert split_words(df).count() == 13  # flat map: one to many
+    assert lines_starting_with(df, "b").count() == 1  # filter: none or one
 
 
 def test_prefix_filter_reaches_the_scan(spark, tmp_path):
@@ -166,7 +168,7 @@ def test_empty_collection_is_refused(spark):
 
 def test_keyed_lines_cut_at_the_first_separator(spark):
     out = sources.keyed_lines(lines(spark, [*LOCATIONS, "none", ":x", "k:"])).collect()
-    assert [r["key"] for r in out] == ["123", "456", "123", None, "", "k"]
+    assert [r["key"] for r in out] == ["p7", "p8", "p7", None, "", "k"]
     assert out[0]["value"] == '{"patientId": "123", "lat": 38.7167, "lon": -9.1333}'
     assert [r["value"] for r in out[3:]] == ["none", "x", ""]
     arrow = sources.keyed_lines(lines(spark, ["a=>b=>c"]), separator="=>").first()
@@ -225,9 +227,9 @@ def test_location_lines(spark):
     messages = sources.keyed_lines(lines(spark, LOCATIONS)).drop("key")
     told, bad = jobs.location_lines(messages)
     assert values(told) == [
-        "Patient 123 at location (38.7167, -9.1333)",
-        "Patient 456 at location (41.1496, -8.6109)",
-        "Patient 123 at location (38.717, -9.134)",
+        "Patient p7 at location (10.25, 20.5)",
+        "Patient p8 at location (-4.0, 0.125)",
+        "Patient p7 at location (10.5, 20.75)",
     ]
     assert bad.count() == 0
 
@@ -238,8 +240,9 @@ def test_bad_locations(spark):
     found, bad = parse_locations(df)
     assert [tuple(r) for r in found.collect()] == [("1", 38.5, 1.0), ("2", None, 1.0)]
     assert values(bad) == ["{broken", None, "[1]"]
-    told, _ = jobs.location_lines(df)
+    told, bad = jobs.location_lines(df)
     assert values(told) == ["Patient 1 at location (38.5, 1.0)"]
+    assert sorted(map(str, values(bad))) == sorted(map(str, texts[1:]))  # nothing is lost
     with pytest.raises(Exception, match="MALFORMED"):
         jobs.location_lines(df, fail_fast=True)[0].collect()
 
@@ -344,7 +347,9 @@ def test_collect_limited_and_print(spark, capfd):
     assert len(sinks.collect_limited(df, 2)) == 2
     assert len(sinks.collect_limited(df, 100)) == 5
     sinks.print_rows(df)
-    assert "hello Duke" in capfd.readouterr().out
+    assert all(line in capfd.readouterr().out for line in LINES[:1])
+    sinks.print_rows(spark.range(100).selectExpr("id + 1000 AS id"))
+    assert "1099" in capfd.readouterr().out
 
 
 def test_topic_rows(spark):
@@ -400,3 +405,11 @@ def test_a_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(Session())
+
+
+def test_plain_words_take_linear_time(spark):
+    text = "a" + " " * 1_000_000 + "b  "
+    start = time.perf_counter()
+    df = spark.createDataFrame([(text,), ("",), (" \t",), (" a b ",)], "t string").select(plain_words(F.col("t")).alias("w"))
+    assert [r["w"] for r in df.collect()] == [["a", "b"], [""], [], ["", "a", "b"]]
+    assert time.perf_counter() - start < 10

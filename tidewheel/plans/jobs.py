@@ -166,10 +166,12 @@ def watch_patient_windows(
 
 
 def location_lines(messages: DataFrame, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(a sentence per location message, messages that could not be read)."""
-    locations, bad = parse_locations(messages, fail_fast=fail_fast)
+    """(a sentence per location message, messages that could not be read or lack a field)."""
+    locations, bad = parse_locations(messages.withColumn("__text", F.col("value")), fail_fast=fail_fast)
     readable = F.col("patientId").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()
     sentence = location_sentence(F.col("patientId"), F.col("lat"), F.col("lon"))
+    rest = [F.col("__text").alias(c) if c == "value" else F.col(c) for c in messages.columns]
+    bad = bad.drop("__text").unionByName(locations.where(~readable).select(*rest))
     return locations.where(readable).select(sentence.alias("value")), bad
 
 

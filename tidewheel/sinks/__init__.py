@@ -10,12 +10,21 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 
-def print_rows(df: DataFrame, n: int = 20, mode: str = "append") -> StreamingQuery | None:
-    """Print ``n`` rows; a stream prints that many of each micro-batch until it is stopped."""
-    if not df.isStreaming:
-        df.show(n, truncate=False)
-        return None
-    return df.writeStream.format("console").outputMode(mode).option("numRows", n).option("truncate", False).start()
+def print_rows(df: DataFrame, n: int | None = None, mode: str = "append") -> StreamingQuery | None:
+    """Print all rows, or the first ``n``; a stream does so for each micro-batch until it is stopped.
+
+    Rows come to the client a partition at a time.
+    """
+
+    def told(rows: DataFrame, _: int = 0) -> None:
+        print("\t".join(rows.columns))
+        for row in (rows if n is None else rows.limit(n)).toLocalIterator():
+            print("\t".join(map(str, row)))
+
+    if df.isStreaming:
+        return df.writeStream.foreachBatch(told).outputMode(mode).start()
+    told(df)
+    return None
 
 
 def collect_limited(df: DataFrame, n: int) -> list[Row]:

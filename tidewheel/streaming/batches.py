@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tidewheel.operators.running import SPLIT_ROWS, Fold, find_hot_keys, running_fold
 from tidewheel.storage import new_folder
-from tidewheel.streaming.runner import stateful_settings, table_at, to_end
+from tidewheel.streaming.runner import BATCH, refuse_clash, stateful_settings, table_at, to_end
 
 _VALUE, _NEW = "__value", "__new"
 
@@ -45,7 +45,7 @@ def running_total_by_batch(
     def write(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         schema = T.StructType([*[batch.schema[k] for k in keys], T.StructField(_VALUE, T.LongType())])
-        before = table_at(session, f"{folder}/totals/{(number - 1) % 2}", schema) if number else None
+        before = table_at(session, f"{folder}/totals/{(number - 1) % 2}", schema, may_miss=False) if number else None
         rows = batch.withColumns({_VALUE: value.cast("long"), _NEW: F.lit(1)}).persist()
         both = rows
         if before is not None:
@@ -54,20 +54,21 @@ def running_total_by_batch(
         fold = Fold(name, F.col(_VALUE), inclusive=inclusive)
         counted = running_fold(both, keys, [*order, _NEW], [fold], hot)
         new = counted.where(F.col(_NEW) == 1).select(*batch.columns, name)
-        new.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+        new.write.mode("overwrite").parquet(f"{folder}/rows/{BATCH}={number}")
         totals = both.groupBy(*keys).agg(F.sum(_VALUE).alias(_VALUE))
         totals.write.mode("overwrite").parquet(f"{folder}/totals/{number % 2}")
         rows.unpersist()
 
     with stateful_settings(spark):
         stream = build()
+        refuse_clash(stream, name, _VALUE, _NEW)
         writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint")
         query = writer.trigger(availableNow=True).start()
     to_end(query)
     schema = T.StructType(
-        [*stream.schema.fields, T.StructField(name, T.LongType()), T.StructField("batch", T.LongType())]
+        [*stream.schema.fields, T.StructField(name, T.LongType()), T.StructField(BATCH, T.LongType())]
     )
-    return table_at(spark, f"{folder}/rows", schema).drop("batch")
+    return table_at(spark, f"{folder}/rows", schema).drop(BATCH)
 
 
 def windows_until_by_batch(

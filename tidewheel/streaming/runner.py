@@ -55,12 +55,25 @@ def to_end(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def table_at(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table that a stream has written, empty if the stream had nothing to write yet."""
+# The folder column of a micro-batch's own directory; no column of a stream may have this name.
+BATCH = "__batch"
+
+
+def refuse_clash(stream: DataFrame, *reserved: str) -> None:
+    """Raise if the stream has a column of a reserved name."""
+    if clash := set(stream.columns) & {BATCH, *reserved}:
+        raise ValueError(f"reserved column names: {sorted(clash)}")
+
+
+def table_at(spark: SparkSession, path: str, schema: T.StructType, may_miss: bool = True) -> DataFrame:
+    """A table that a stream has written, empty if the stream had nothing to write yet.
+
+    With ``may_miss`` off a missing table is an error: what was written there is lost.
+    """
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if e.getCondition() != "PATH_NOT_FOUND" or not may_miss:
             raise
         return spark.createDataFrame([], schema)
 
@@ -102,10 +115,11 @@ def latest_to_table(
     folder = folder or new_folder(spark, "stream")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/{BATCH}={batch_id}")
 
     with stateful_settings(spark, state_partitions):
         stream = build()
+        refuse_clash(stream)
         query = (
             stream.writeStream.foreachBatch(write)
             .outputMode("update")
@@ -114,7 +128,7 @@ def latest_to_table(
             .start()
         )
     to_end(query)
-    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    schema = T.StructType([*stream.schema.fields, T.StructField(BATCH, T.LongType())])
     rest = [c for c in stream.columns if c not in keys]
     versions = table_at(spark, f"{folder}/rows", schema)
-    return versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("v")).select(*keys, "v.*")
+    return versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), BATCH).alias("v")).select(*keys, "v.*")
