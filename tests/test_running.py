@@ -81,3 +81,61 @@ def test_plain_form_shuffles_once(spark):
     df = spark.createDataFrame(skewed_rows(100), SCHEMA)
     plan = running_count(df, ["k"], ["ts", "id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("prefix", ["", "the-same-beginning-of-every-name/", "é" * 30])
+def test_a_hot_key_is_cut_by_text_and_boolean(spark, prefix):
+    from tidewheel.operators.running import _with_slices
+
+    rng = random.Random(3)
+    rows = [("hot", rng.random() < 0.5, f"{prefix}{rng.choice(['a', 'b'])}{i * 7919 % 4000:05d}", i) for i in range(4000)]
+    rows += [("hot", None, None, 4000), ("hot", True, "", 4001), ("cold", True, "x", 4002)]
+    df = spark.createDataFrame(rows, "k string, b boolean, s string, id bigint")
+    for order in (["s", "id"], ["b", "s", "id"]):
+        hot = find_hot_keys(df, ["k"], order, 500)
+        out = running_fold(df, ["k"], order, [Fold("n", F.lit(1))], hot)
+        got = {r["id"]: r["n"] for r in out.collect()}
+        place = {"b": 1, "s": 2, "id": 3}
+
+        def by(r):
+            # nulls first, texts by their bytes
+            at = [r[place[c]] for c in order]
+            return [(v is not None, v.encode() if isinstance(v, str) else v or 0) for v in at]
+
+        want = {r[3]: n + 1 for n, r in enumerate(sorted(rows[:-1], key=by))} | {4002: 1}
+        assert got == want
+        if len(prefix.encode()) < 40:  # texts are cut by their first 48 bytes
+            sliced, slices = _with_slices(df, hot)
+            assert max(r["count"] for r in sliced.where("k = 'hot'").groupBy(*slices).count().collect()) <= 1000
+
+
+def test_infinite_and_missing_numbers_are_in_order(spark):
+    rng = random.Random(4)
+    odd = [float("inf"), float("-inf"), float("nan"), None, 0.5]
+    rows = [(rng.choice(odd) if rng.random() < 0.6 else rng.random(), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "x double, id bigint").withColumn("k", F.lit("one"))
+    plain = running_count(df, ["k"], ["x", "id"], split_rows=10**9)
+    cut = running_count(df, ["k"], ["x", "id"], split_rows=100)
+    assert sorted(cut.select("id", "cnt").collect()) == sorted(plain.select("id", "cnt").collect())
+
+
+def test_no_input_goes_through_one_task(spark, monkeypatch):
+    """Neither the count nor the sample has an exchange to a single partition."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, collect, to_pandas = [], DataFrame.collect, DataFrame.toPandas
+
+    def noted(run):
+        def f(self):
+            plans.append(self._jdf.queryExecution().executedPlan().toString())
+            return run(self)
+
+        return f
+
+    monkeypatch.setattr(DataFrame, "collect", noted(collect))
+    monkeypatch.setattr(DataFrame, "toPandas", noted(to_pandas))
+    df = spark.createDataFrame(skewed_rows(3000), SCHEMA)
+    hot = find_hot_keys(df, ["k"], ["ts", "id"], 300)
+    assert len(hot.hashes) > 1 and len(plans) >= 2
+    running_fold(df, ["k"], ["ts", "id"], [Fold("n", F.lit(1))], hot).collect()
+    assert not any("SinglePartition" in p for p in plans)

@@ -4,37 +4,39 @@ A window over ``PARTITION BY key ORDER BY ...`` sorts each key in one task. That
 for ordinary keys and hopeless for one that holds a third of a large table, so rows of such
 a key are cut into slices of its order:
 
-1. one aggregate over the table finds the hot keys, if any (a bounded sketch, one row back);
-2. quantiles of the order columns over the hot rows give slice borders. A slice holds about
-   ``split_rows`` rows whatever the spread of times, and if many rows share one time, that
-   time is cut by the next order column;
+1. rows are counted per key (combined before the shuffle); keys of more than ``split_rows`` are hot;
+2. a sample of the hot rows, taken by a hash of key and order, gives slice borders, some eight per
+   ``split_rows`` rows. If many rows share one value, that value is cut by the next order column;
+   a text is cut by four bytes after another;
 3. the totals of each (key, slice) are summed up over the earlier slices, and these sums
    join the data as one extra leading row per slice, so a plain window by (key, slice) goes
    on from the right value.
 
-The sketch and the borders only decide where to cut. The result is exact for any choice, and
-with no hot key there is just the plain window. The data are shuffled once either way.
+The sample only decides where to cut. The result is exact for any choice, and with no hot key
+there is just the plain window. The data are shuffled once either way. What the client holds and
+the plan carries is a hash code per hot key and eight borders per ``split_rows`` hot rows: for
+10**12 rows at most 200,000 codes and 1.6 million borders, some 15 MB; to find them the client
+reads one number per border and level (13 levels for a text), at most 170 MB for that many rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPLIT_ROWS = 5_000_000
-# A key is hot only if it also holds this share of all rows, so there are never more hot
-# keys than that; and the hot rows are cut into no more slices than that.
-MAX_HOT_KEYS = 4096
-MAX_SLICES = 4096
-_SKETCH_SIZE = 65536
+_BORDERS = 8  # to expect per split_rows rows, so that a slice seldom gets longer than that
 _EXACT_DOUBLE = float(2**53)
+# Texts are cut by so many chunks of four bytes; those that agree on all of them and go on stay together.
+_CHUNKS = 12
+_CHUNK_VALUES = float(2**33)
 
 _OPS = {"sum": F.sum, "max": F.max}
 
@@ -56,30 +58,68 @@ class Fold:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hash codes of the keys to cut, and slice borders per order column.
+    """Hash codes of the keys to cut, and slice borders per level of the order columns.
 
     Good for frames with more grouping columns too: a part of a key is cut where its key is.
     """
 
     keys: list[str]
+    order: list[str]
     hashes: list[int]
-    borders: list[tuple[str, list[float], list[float]]]  # order column, splits, values to cut further
+    borders: list[tuple[list[float], list[float]]]  # per level: splits, values to cut further
 
-    def is_hot(self) -> Column:
-        return _key_hash(self.keys).isin(self.hashes)
+    def mark(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with a boolean column that says whether the row's key is hot."""
+        code = f"{name}_code"
+        codes = df.sparkSession.createDataFrame([(h,) for h in self.hashes], f"{code} long")
+        marked = df.join(F.broadcast(codes), _key_hash(self.keys) == F.col(code), "left")
+        return marked.withColumn(name, F.col(code).isNotNull()).drop(code)
+
+
+@dataclass(frozen=True)
+class _Level:
+    """A number that goes up with the order column among rows that are equal on the levels before.
+
+    ``value`` is never null. A value below ``exact`` in size stands for one value of the level only.
+    ``whole``: it is a whole number below 2**33, so that it can be cut apart for each earlier slice.
+    """
+
+    value: Column
+    exact: float = _EXACT_DOUBLE
+    whole: bool = False
+    nulls: bool = True  # minus infinity means null and nothing else
+
+    def within(self, slice_before: Column | np.ndarray, value: Column | np.ndarray) -> Column | np.ndarray:
+        return slice_before * _CHUNK_VALUES + value if self.whole else value
+
+    def stands_for_one(self, value: np.ndarray) -> np.ndarray:
+        return (np.abs(value) < self.exact) | (np.isneginf(value) & self.nulls)
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def _as_number(name: str, kind: T.DataType) -> Column | None:
-    """The order column as a double that keeps its order (nulls first), or None if there is none."""
-    x = _number(F.col(name), name, kind)
-    return None if x is None else F.coalesce(x, F.lit(-math.inf))
+def _levels(name: str, kind: T.DataType) -> list[_Level]:
+    """The order column as levels, nulls first; none if it can't be cut by."""
+    c = F.col(f"`{name}`")
+    if isinstance(kind, (T.BinaryType, T.StringType)) and kind in (T.BinaryType(), T.StringType()):
+        digits = F.rpad(F.hex(F.substring(c, 1, 4 * _CHUNKS)), 8 * _CHUNKS, "0")  # by bytes, as texts are sorted
+        chunks = [F.conv(F.substring(digits, 8 * i + 1, 8), 16, 10).cast("double") + 1 for i in range(_CHUNKS)]
+        length = F.least(F.octet_length(c), F.lit(4 * _CHUNKS + 1)).cast("double")
+        whole = [_Level(F.coalesce(x, F.lit(0.0)), whole=True) for x in chunks]
+        return [*whole, _Level(F.coalesce(length, F.lit(0.0)), exact=4 * _CHUNKS + 1)]
+    x = _number(c, name, kind)
+    if x is None:
+        return []
+    inexact = isinstance(kind, T.DecimalType)
+    is_float = isinstance(kind, (T.FloatType, T.DoubleType))
+    return [_Level(F.coalesce(x, F.lit(-math.inf)), 0.0 if inexact else _EXACT_DOUBLE, nulls=not is_float)]
 
 
 def _number(c: Column, name: str, kind: T.DataType) -> Column | None:
+    if isinstance(kind, T.BooleanType):
+        return c.cast("int").cast("double")
     if isinstance(kind, T.NumericType):
         return c.cast("double")
     if isinstance(kind, T.DateType):
@@ -93,68 +133,73 @@ def _number(c: Column, name: str, kind: T.DataType) -> Column | None:
     return None
 
 
+def _all_levels(df: DataFrame, order: Sequence[str]) -> list[_Level]:
+    """The levels of the order columns, up to the first column that can't be cut by."""
+    out: list[_Level] = []
+    for name in order:
+        levels = _levels(name, df.schema[name].dataType)
+        if not levels:
+            break
+        out += levels
+    return out
+
+
 def find_hot_keys(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int = SPLIT_ROWS
 ) -> HotKeys | None:
     """Keys of more than ``split_rows`` rows and where to cut them; None if there are none.
 
-    Runs one aggregate over the key columns and, only if a key is hot, one more per order
-    column over the rows of the hot keys.
+    Runs one count per key and, only if a key is hot, takes a sample of the rows of the hot keys.
     """
-    counted = df.select(_key_hash(keys).alias("h"))
-    profile = counted.agg(
-        F.count("*").alias("n"), F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {_SKETCH_SIZE})").alias("top")
-    ).first()
-    least = max(split_rows, profile["n"] / MAX_HOT_KEYS)
-    hot = [t["item"] for t in profile["top"] if t["count"] > least]
-    if not hot:
+    counted = df.select(_key_hash(keys).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    hashes = [r["h"] for r in counted.where(F.col("n") > split_rows).select("h").collect()]
+    levels = _all_levels(df, order)
+    if not hashes or not levels:
         return None
-    hot_rows = sum(t["count"] for t in profile["top"] if t["count"] > least)
-    # twice as many as needed, so that a value of ``split_rows`` rows shows as two equal cuts
-    slices = min(MAX_SLICES, 2 * math.ceil(hot_rows / split_rows))
-    shares = [i / slices for i in range(1, slices)]
 
-    borders: list[tuple[str, list[float], list[float]]] = []
-    rows = df.where(_key_hash(keys).isin(hot))
-    for name in order:
-        kind = df.schema[name].dataType
-        x = _as_number(name, kind)
-        if x is None:
-            break
-        cuts = rows.agg(F.percentile_approx(x, shares, 10 * slices).alias("q")).first()["q"]
-        if not cuts:
+    every = max(1, split_rows // _BORDERS)
+    hot = HotKeys(list(keys), list(order), hashes, [])
+    drawn = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0)
+    sample = hot.mark(drawn, "__hot").where("__hot").select(*[x.value.alias(f"x{i}") for i, x in enumerate(levels)])
+    drawn_levels = sample.toPandas().to_numpy(dtype=float)
+
+    before = np.zeros(len(drawn_levels))
+    for i, level in enumerate(levels):
+        x = level.within(before, drawn_levels[:, i])
+        values, times = np.unique(x[~np.isnan(x)], return_counts=True)
+        # a value with two borders or more gets a slice to itself and is cut by the next level
+        # (if it stands for one value of the column only)
+        crowded = values[(times > 1) & level.stands_for_one(values)]
+        crowded = crowded if i + 1 < len(levels) else crowded[:0]
+        cuts = np.unique(np.concatenate([values, np.nextafter(crowded, np.inf)]))
+        splits = cuts[np.isfinite(cuts)]
+        if not len(splits) and not len(crowded):
             break
-        # a value that fills more than a slice gets a slice to itself and is cut by the next column
-        # (if the double stands for that one value only)
-        is_float = isinstance(kind, (T.FloatType, T.DoubleType))
-        crowded = [
-            v
-            for v, times in Counter(cuts).items()
-            if times > 1 and (abs(v) < _EXACT_DOUBLE or (v == -math.inf and not is_float))
-        ]
-        splits = sorted({*cuts, *(math.nextafter(v, math.inf) for v in crowded)} - {-math.inf})
-        borders.append((name, splits, crowded))
-        if not crowded:
+        hot.borders.append((splits.tolist(), crowded.tolist()))
+        before = np.searchsorted(splits, x, side="right").astype(float)
+        stay = np.isin(x, crowded)
+        if not stay.any():
             break
-        rows = rows.where(x.isin(crowded))
-    return HotKeys(list(keys), hot, borders) if borders else None
+        drawn_levels, before = drawn_levels[stay], before[stay]
+    return hot if hot.borders else None
 
 
 def _with_slices(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, list[str]]:
-    """``df`` with one slice column per border list. Rows of ordinary keys are all in one slice."""
-    to_cut = hot.is_hot()
-    names = []
-    for level, (column, splits, crowded) in enumerate(hot.borders):
-        x = _as_number(column, df.schema[column].dataType)
-        source, name = f"__x{level}", f"__slice{level}"
-        df = df.withColumn(source, F.when(to_cut, x))
+    """``df`` with a column ``__hot`` and one slice column per level. Rows of ordinary keys are all in one slice."""
+    df = hot.mark(df, "__hot")
+    to_cut, before, names = F.col("__hot"), F.lit(0.0), []
+    for i, (level, (splits, crowded)) in enumerate(zip(_all_levels(df, hot.order), hot.borders)):
+        source, name = f"__x{i}", f"__slice{i}"
+        df = df.withColumn(source, F.when(to_cut, level.within(before, level.value)))
         df = Bucketizer(
-            splits=[-math.inf, *splits, math.inf], inputCol=source, outputCol=name, handleInvalid="keep"
+            splits=[-math.inf, *(splits or [0.0]), math.inf], inputCol=source, outputCol=name, handleInvalid="keep"
         ).transform(df)
-        df = df.withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(0))).drop(source)
-        to_cut = to_cut & x.isin(crowded)
+        df = df.withColumn(name, F.when(F.col(source).isNotNull(), F.col(name).cast("int")).otherwise(0))
+        df = df.withColumn("__cut", to_cut & F.col(source).isin(crowded) if crowded else F.lit(False))
+        df = df.drop(source)
+        to_cut, before = F.col("__cut"), F.col(name).cast("double")
         names.append(name)
-    return df, names
+    return df.drop("__cut"), names
 
 
 def _fold(fold: Fold, over: Column | None = None, value: Column | None = None) -> Column:
@@ -188,7 +233,7 @@ def running_fold(
 
     # Totals of the earlier slices (for ``whole``: of all slices), one row per (key, slice) of a hot key.
     totals = (
-        sliced.where(hot.is_hot())
+        sliced.where("__hot")
         .groupBy(*keys, *slices)
         .agg(*[_OPS[f.op](value[f.name]).alias(value[f.name]) for f in folds])
     )
@@ -203,7 +248,7 @@ def running_fold(
             for f in folds
         ],
     )
-    rows = sliced.withColumn("__is_row", F.lit(1)).unionByName(carried, allowMissingColumns=True)
+    rows = sliced.drop("__hot").withColumn("__is_row", F.lit(1)).unionByName(carried, allowMissingColumns=True)
 
     part = Window.partitionBy(*keys, *slices)
     in_order = part.orderBy("__is_row", *order)

@@ -173,12 +173,15 @@ def key_affinity(spark, folder):
 
 
 @query("""
-    WITH t AS (SELECT count(*) AS c FROM events)
-    SELECT n, CASE WHEN n <= c // 2 THEN n * 1000 ELSE (n - c // 2) * 1000 END AS v
-    FROM (SELECT c, unnest(generate_series(1, c)) AS n FROM t)""")
+    WITH t AS (SELECT (max(event_id) + 1) // 2 AS half FROM events)
+    SELECT event_id + 1 AS n, CASE WHEN event_id + 1 <= half THEN (event_id + 1) * 1000
+        ELSE (event_id + 1 - half) * 1000 END AS v
+    FROM events, t""")
 def sequence_map(spark, folder):
-    rows = read_table(spark, folder, "events").count()
-    return sources.sequence(spark, 1, rows).select("n", fold_sequence(F.col("n"), rows // 2).alias("v"))
+    """The events by their numbers, as a sequence that goes back half-way."""
+    numbers = read_table(spark, folder, "events").select((F.col("event_id") + 1).alias("n"))
+    half = numbers.agg(F.max("n")).first()[0] // 2
+    return numbers.select("n", fold_sequence(F.col("n"), half).alias("v"))
 
 
 @query("""
