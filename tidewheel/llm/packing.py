@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -24,20 +25,28 @@ GROUP_TOKENS, MAX_PADDING = 1 << 22, 0.005
 
 
 @functools.lru_cache(maxsize=4)
-def _encoding(ranks_path: str, pattern: str):
+def _encoding(ranks_path: str, pattern: str, model_path: str):
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    with open(model_path, encoding="utf-8") as model:
+        added = {t["content"]: t["id"] for t in json.load(model)["added_tokens"]}
+    # an added token's id is not one of the merges
+    ranks = {token: i for token, i in ranks.items() if i not in set(added.values())}
+    return tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
 
-def tokenizer(ranks_path: str | None = None, pattern: str | None = None) -> Callable[[str], np.ndarray]:
-    """Text to ids by the byte-level BPE of ``byte_bpe_50k``, special tokens being ordinary text."""
+def tokenizer(ranks_path: str | None = None, pattern: str | None = None, model_path: str | None = None) -> Callable[[str], np.ndarray]:
+    """Text to ids as the model file ``byte_bpe_50k.json`` has them, by its ranks.
+
+    The model's added tokens, where a text holds them, are their one id, as the tokenizer of that file gives it.
+    """
     import public_tokenizers
 
-    encoding = _encoding(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN)
-    return lambda text: encoding.encode_to_numpy(text, disallowed_special=())
+    ranks_path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoding = _encoding(ranks_path, pattern or public_tokenizers.PATTERN, model_path or public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
 
 
 class Windows:
