@@ -229,6 +229,18 @@ def test_best_fit_takes_the_tightest_window():
         open_[got[i]] -= lengths[i]
 
 
+def test_packing_ids_are_those_of_the_tokenizer():
+    tokenizers = pytest.importorskip("tokenizers")
+    import public_tokenizers
+
+    tok, ids = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.tokenizer()
+    tok.encode_special_tokens = True  # a document that names an added token is ordinary text
+    added = [t.content for t in tok.get_added_tokens_decoder().values()]
+    texts = [f"a {x} b{x}{x}" for x in added] + [x[:-1] for x in added] + ["\x00\x1f   x  \n\n y\t\tz", "é ﬁ ½ 𝕏 👩‍👩‍👧", "'S 'LL don't", " " * 500 + "a", "x" * 3000]
+    for text in texts:
+        assert ids(text).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_edges(spark):
     rows = [(None, None), (1, ""), (1, ""), (2, " " * 20000 + "x" * 20000), (3, "<|endoftext|>")]
     out = packing.packed(spark.createDataFrame(rows, "doc_id long, text string"), ids=False).collect()
