@@ -9,10 +9,12 @@ from test_running import skewed_rows
 from test_until import simulate, windows_of
 
 from tidewheel import sinks, sources
+from tidewheel.functions import fold_sequence
 from tidewheel.operators import count_by, running_count, tumbling_last, with_event_time
 from tidewheel.plans import jobs
 from tidewheel.storage import new_folder
 from tidewheel.streaming import (
+    append_and_close,
     append_to_table,
     latest_to_table,
     running_count_stream,
@@ -193,6 +195,14 @@ def test_sequence_windows_bounded_and_streamed(spark):
     # append: a window comes out once the watermark (latest time minus delay) passes its end
     appended = append_to_table(streamed, spark).collect()
     assert [r["message"] for r in appended] == ["Window closed at event-time 2000"]
+    # closed at the end of the source: all windows, and nothing of the row that closes them
+    closed = append_and_close(
+        lambda: stream_of(spark, folder, "n bigint").withColumn("ts", F.timestamp_millis(fold_sequence(F.col("n"), 5))),
+        lambda rows: tumbling_last(rows.withWatermark("ts", "1 second"), "3 seconds", "n", ["ts", "n"]),
+        spark,
+        "ts",
+    )
+    assert {r["window_start"] for r in closed.collect()} == {r["window_start"] for r in out}
     # update: every window's latest value
     updated = latest_to_table(streamed, spark, ["window_start"]).orderBy("window_start").collect()
     assert [r["message"] for r in updated] == [r["message"] for r in out]

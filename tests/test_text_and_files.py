@@ -19,9 +19,9 @@ from tidewheel.operators import (
     partition_by_key,
     rebalance,
     split_words,
-    spread_scan,
     tokenize,
     tumbling,
+    tumbling_last,
 )
 from tidewheel.functions.text import plain_words
 from tidewheel.plans import jobs
@@ -319,13 +319,6 @@ def test_rebalance_evens_out(spark):
     assert [r["count"] for r in sizes.collect()] == [200] * 5
 
 
-def test_spread_only_narrow_scans(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread_scan(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores)
-    assert spread_scan(wide) is wide
-
-
 # --- sinks ---
 
 
@@ -413,3 +406,62 @@ def test_plain_words_take_linear_time(spark):
     df = spark.createDataFrame([(text,), ("",), (" \t",), (" a b ",)], "t string").select(plain_words(F.col("t")).alias("w"))
     assert [r["w"] for r in df.collect()] == [["a", "b"], [""], [], ["", "a", "b"]]
     assert time.perf_counter() - start < 10
+
+
+def test_words_keep_columns_and_position(spark):
+    df = spark.createDataFrame([(7, "Ox, -- ox\tELK"), (8, " elk"), (9, None), (10, "")], "id long, value string")
+    words = tokenize(df, keep=["id"], position="at")
+    assert words.columns == ["id", "at", "word"]
+    assert [tuple(r) for r in words.orderBy("id", "at").collect()] == [
+        (7, 0, "ox"), (7, 2, "ox"), (7, 3, "elk"), (8, 1, "elk")
+    ]
+    plain = split_words(df, keep=["id"], position="at").orderBy("id", "at").collect()
+    assert [tuple(r) for r in plain][:4] == [(7, 0, "Ox,"), (7, 1, "--"), (7, 2, "ox"), (7, 3, "ELK")]
+    counted = jobs.running_word_count(df, ["id"]).orderBy("id", "position").collect()
+    assert [r["cnt"] for r in counted] == [1, 2, 1, 2]
+    with pytest.raises(ValueError, match="keep"):
+        tokenize(df.withColumnRenamed("id", "word"), keep=["word"])
+
+
+def test_time_and_number_sort_as_one(spark):
+    import datetime as dt
+    from itertools import product
+
+    from tidewheel.functions.numbers import as_one_number
+
+    times = [None, dt.datetime(1, 1, 2), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(1970, 1, 1),
+             dt.datetime(2024, 2, 29, 1, 2, 3, 4), dt.datetime(9999, 12, 30)]
+    pairs = list(product(times, [None, -(2**63), -1, 0, 2**63 - 1]))
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame(pairs, f"t {kind}, n long")
+        by_number = df.withColumn("x", as_one_number(df, ["t", "n"])).orderBy("x").collect()
+        assert [(r["t"], r["n"]) for r in by_number] == pairs
+        assert len({r["x"] for r in by_number}) == len(pairs)
+    assert as_one_number(df, ["n", "t"]) is None
+
+
+def test_last_of_a_window_is_not_sorted(spark):
+    df = spark.createDataFrame([], "ts timestamp, id long, v double, name string")
+    plan = tumbling_last(df, "1 hour", "v", ["ts", "id"])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+
+
+def test_collect_stops_an_endless_stream(spark, tmp_path):
+    """Files that come while the stream runs; it is stopped once there are enough rows."""
+    import threading
+
+    (tmp_path / "0.txt").write_text("a\nb\n")
+
+    def drop():
+        for i in (1, 2):
+            time.sleep(1.5)
+            part = tmp_path / f".{i}.part"
+            part.write_text(f"c{i}\n")
+            part.rename(tmp_path / f"{i}.txt")
+
+    dropper = threading.Thread(target=drop)
+    dropper.start()
+    got = sinks.collect_limited(sources.watch_lines(spark, str(tmp_path)), 4)
+    dropper.join()
+    assert sorted(r["value"] for r in got) == ["a", "b", "c1", "c2"]
+    assert not spark.streams.active

@@ -81,6 +81,15 @@ def test_timeout(spark, rows, split_rows, seconds):
     assert windows_of(done) == simulate(rows, seconds=seconds)
 
 
+@pytest.mark.parametrize("split_rows", SPLITS)
+def test_timeout_of_rows_without_a_time(spark, split_rows):
+    at = [None if s is None else START + dt.timedelta(seconds=s) for s in (None, None, None, 0, 5, 20)]
+    data = [("k", t, i, i == 1) for i, t in enumerate(at)]
+    df = spark.createDataFrame(data, SCHEMA)
+    done = windows_until_timeout(df, ["k"], "ts", ["id"], F.col("flag"), 10, split_rows)
+    assert {r["id"]: r["window_no"] for r in done.collect()} == {0: 0, 1: 0, 2: 1, 3: 2, 4: 2, 5: 3}
+
+
 def test_timeout_across_arrow_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:

@@ -5,7 +5,6 @@ from tidewheel.operators.keyed import (  # noqa: F401
     latest_by_key,
     partition_by_key,
     rebalance,
-    spread_scan,
 )
 from tidewheel.operators.records import flatten_valid, parse_json, parse_locations  # noqa: F401
 from tidewheel.operators.running import Fold, find_hot_keys, running_count, running_fold  # noqa: F401

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.functions.numbers import as_one_number
+
 
 def count_by(df: DataFrame, *keys: str, name: str = "cnt") -> DataFrame:
     """Rows per key. Spark counts within each input partition first, so a key that holds a
@@ -14,17 +16,25 @@ def count_by(df: DataFrame, *keys: str, name: str = "cnt") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def one_or_struct(columns: Sequence[str]) -> Column:
-    """What to compare or carry several columns as. A single number or time stays as it is, which
-    lets Spark aggregate by hash; structs and strings make it sort first."""
-    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+def in_one(df: DataFrame, columns: Sequence[str]) -> Column:
+    """What to compare several columns as. A single number or time stays as it is, and a time
+    with a whole number makes one decimal, so that Spark aggregates by hash; it sorts first for
+    structs and strings."""
+    if len(columns) == 1:
+        return F.col(columns[0])
+    number = as_one_number(df, columns)
+    return F.struct(*columns) if number is None else number
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """The ``values`` of each key's last row by ``order``; also combined before the shuffle."""
+    """The ``values`` of each key's last row by ``order``; also combined before the shuffle.
+
+    A single number or time as the value is aggregated by hash. Texts and several values are
+    carried as they are, which makes Spark sort each input partition first.
+    """
     if len(values) == 1:
-        return df.groupBy(*keys).agg(F.max_by(values[0], one_or_struct(order)).alias(values[0]))
-    last = F.max_by(F.struct(*values), one_or_struct(order)).alias("last")
+        return df.groupBy(*keys).agg(F.max_by(values[0], in_one(df, order)).alias(values[0]))
+    last = F.max_by(F.struct(*values), in_one(df, order)).alias("last")
     return df.groupBy(*keys).agg(last).select(*keys, "last.*")
 
 
@@ -40,16 +50,3 @@ def partition_by_key(df: DataFrame, *keys: str | Column, partitions: int | None
 def rebalance(df: DataFrame, partitions: int) -> DataFrame:
     """Rows dealt out evenly, whatever their keys."""
     return df.repartition(partitions)
-
-
-def spread_scan(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
-    """Deal out a scan that comes as fewer partitions than there are cores.
-
-    Meant for a file scan in front of costly per-row work (tokenizing long texts): a file of
-    one row group is one task however many cores wait. A scan with splits enough for the
-    cores, as any large table has, is returned as it is and is not shuffled. For a stream give
-    the bounded ``scan`` of the same files to judge by.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    narrow = (df if scan is None else scan).rdd.getNumPartitions() < cores
-    return df.repartition(cores) if narrow else df

@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewheel.functions.numbers import micros
+
 SPLIT_ROWS = 5_000_000
 _BORDERS = 8  # to expect per split_rows rows, so that a slice seldom gets longer than that
 _EXACT_DOUBLE = float(2**53)
@@ -124,13 +126,8 @@ def _number(c: Column, name: str, kind: T.DataType) -> Column | None:
         return c.cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(kind, T.TimestampNTZType):  # by its fields: a cast would go through a time zone
-        clock = F.hour(c) * 3600 + F.minute(c) * 60
-        micros = (F.expr(f"extract(SECOND FROM `{name}`)") * 1_000_000).cast("long")
-        return ((F.unix_date(c.cast("date")).cast("long") * 86400 + clock) * 1_000_000 + micros).cast("double")
-    return None
+    time = micros(name, kind)
+    return None if time is None else time.cast("double")
 
 
 def _all_levels(df: DataFrame, order: Sequence[str]) -> list[_Level]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.operators.keyed import one_or_struct
+from tidewheel.operators.keyed import in_one
 
 
 def with_event_time(df: DataFrame, time: Column, delay: str | None, name: str = "ts") -> DataFrame:
@@ -49,6 +49,7 @@ def tumbling(
 def tumbling_last(
     df: DataFrame, size: str, value: str, order: Sequence[str], time: str = "ts", keys: Sequence[str] = ()
 ) -> DataFrame:
-    """The last ``value`` by ``order`` and the number of rows in each window."""
-    last = F.max_by(F.col(value), one_or_struct(order)).alias("last")
+    """The last ``value`` by ``order`` and the number of rows in each window. With a number or
+    time as ``value`` and a time and a whole number as ``order`` nothing is sorted."""
+    last = F.max_by(F.col(value), in_one(df, order)).alias("last")
     return tumbling(df, size, [last, F.count("*").alias("n")], keys, time)

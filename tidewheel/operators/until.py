@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from tidewheel.operators.running import SPLIT_ROWS, Fold, find_hot_keys, running_fold
 
 _FLAG = "__trigger"
+# Stands for no time: before all others, and further from them than any time limit.
+_UNTIMED = -(1 << 62)
 
 
 def _as_flag(trigger: Column) -> Column:
@@ -153,7 +155,8 @@ def windows_until_timeout(
 
     A window takes the rows with time in ``[first, first + seconds)`` up to a trigger, by time
     in whole milliseconds. The input being complete, the last window of a key ends by its time
-    too, so all rows come out. Adds ``window_no`` (from 0 per key).
+    too, so all rows come out. Adds ``window_no`` (from 0 per key). Rows without a time come
+    first; they make windows of their own, ended by a trigger or the first row with a time.
 
     Where a window starts depends on where the one before did, so that chain is followed in
     order. It runs over the distinct milliseconds only, per (key, stretch between triggers),
@@ -171,7 +174,7 @@ def windows_until_timeout(
     group = [*names.values(), "__stretch"]
     times = (
         labelled.select(*[F.col(k).alias(n) for k, n in names.items()], "__stretch", *order)
-        .groupBy(*group, F.unix_millis(time).alias("__ms"))
+        .groupBy(*group, F.coalesce(F.unix_millis(time), F.lit(_UNTIMED)).alias("__ms"))
         .agg(F.min(F.struct(*order)).alias("__first"))
     )
     chained = times.repartition(*group).sortWithinPartitions(*group, "__ms")

@@ -23,7 +23,6 @@ from tidewheel.operators import (
     parse_locations,
     partition_by_key,
     running_count,
-    spread_scan,
     tumbling,
     tumbling_last,
     upper_lines,
@@ -36,6 +35,7 @@ from tidewheel.plans import jobs
 from tidewheel.sources import read_table, stream_table
 from tidewheel.storage import new_folder
 from tidewheel.streaming import (
+    append_and_close,
     append_to_table,
     latest_to_table,
     running_count_stream,
@@ -83,7 +83,7 @@ _WORD_COUNT = r"""
 
 @query(_WORD_COUNT)
 def word_count(spark, folder):
-    return jobs.word_count(spread_scan(read_table(spark, folder, "documents").select("text")), "text")
+    return jobs.word_count(read_table(spark, folder, "documents"), "text")
 
 
 @query(r"""
@@ -93,7 +93,20 @@ def word_count(spark, folder):
           FROM documents)
     GROUP BY word""")
 def plain_split_count(spark, folder):
-    return jobs.plain_word_count(spread_scan(read_table(spark, folder, "documents").select("text")), "text")
+    return jobs.plain_word_count(read_table(spark, folder, "documents"), "text")
+
+
+_RUNNING_WORDS = r"""
+    WITH raw AS (SELECT doc_id, regexp_split_to_array(lower(text), '\s+') AS words FROM documents),
+         each AS (SELECT doc_id, (generate_subscripts(words, 1) - 1)::INT AS position, unnest(words) AS word FROM raw),
+         kept AS (SELECT doc_id, position, regexp_replace(word, '[^a-z0-9]', '', 'g') AS word FROM each)
+    SELECT doc_id, position, word, row_number() OVER (PARTITION BY word ORDER BY doc_id, position) AS cnt
+    FROM kept WHERE word <> ''"""
+
+
+@query(_RUNNING_WORDS)
+def running_word_count(spark, folder):
+    return jobs.running_word_count(read_table(spark, folder, "documents"), ["doc_id"], "text")
 
 
 @query("SELECT p_partkey, upper(p_name) AS p_name FROM part")
@@ -450,12 +463,21 @@ def stream_upper_map(spark, folder):
 @query(_WORD_COUNT)
 def stream_word_count(spark, folder):
     def build():
-        texts = stream_table(spark, folder, "documents", **LIMITS).select("text")
-        return jobs.word_count(spread_scan(texts, read_table(spark, folder, "documents").select("text")), "text")
+        return jobs.word_count(stream_table(spark, folder, "documents", **LIMITS), "text")
 
     return latest_to_table(build, spark, ["word"])
 
 
+@query(_RUNNING_WORDS)
+def stream_running_word_count(spark, folder):
+    """Each record answered: a row for each word of each text, in order of the documents."""
+
+    def build():
+        return stream_table(spark, folder, "documents", **LIMITS).select("doc_id", "text")
+
+    return jobs.running_word_count_to_table(build, spark, ["doc_id"], "text")
+
+
 @query(_RUNNING)
 def stream_running_count(spark, folder):
     def build():
@@ -476,16 +498,16 @@ def stream_running_count_hot_keys(spark, folder):
     return counted.drop("ts")
 
 
-# Append mode gives a window once the watermark, the latest time less the delay, is past its end.
-@query("SELECT * FROM (" + _HOURLY_LAST + """)
-    WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 seconds'""")
+@query(_HOURLY_LAST)
 def stream_tumbling_window_append(spark, folder):
-    def build():
-        events = _event_stream(spark, folder, "event_id", "value", "ts")
+    def source():
+        return _event_stream(spark, folder, "event_id", "value", "ts")
+
+    def build(events):
         timed = with_event_time(events, F.col("ts"), "10 seconds")
         return _unzoned(tumbling_last(timed, "1 hour", "value", IN_ORDER), "window_start", "window_end")
 
-    return append_to_table(build, spark)
+    return append_and_close(source, build, spark, "ts")
 
 
 @query(_HOURLY_LAST)
@@ -499,13 +521,17 @@ def stream_tumbling_window_update(spark, folder):
 
 
 def _stream_until(spark, folder, **ends) -> DataFrame:
-    def build():
-        events = _event_stream(spark, folder, "user_id", "event_id", "event_type", "ts", limits=STATEFUL_LIMITS)
-        if "seconds" in ends:
-            events = with_event_time(events, F.col("ts"), "0 seconds")
+    def source():
+        return _event_stream(spark, folder, "user_id", "event_id", "event_type", "ts", limits=STATEFUL_LIMITS)
+
+    def build(events):
         return windows_until_stream(events, ["user_id"], IN_ORDER, F.expr(PURCHASE), ["event_id"], **ends)
 
-    return append_to_table(build, spark)
+    if "seconds" not in ends:
+        return append_to_table(lambda: build(source()), spark)
+    return append_and_close(
+        source, lambda events: build(with_event_time(events, F.col("ts"), "0 seconds")), spark, "ts"
+    )
 
 
 def _stream_lists(rows: DataFrame) -> DataFrame:
@@ -533,12 +559,7 @@ def stream_conditional_window_capped(spark, folder):
     return _stream_lists(_stream_until(spark, folder, max_events=3))
 
 
-# Windows whose day is not over by the latest time are still open, unless a purchase closed them.
-@query("WITH w AS (" + _UNTIL_TIMEOUT + """),
-    t AS (SELECT w.user_id, w.window_no, min(ts) AS first, bool_or(event_type = 'purchase') AS bought
-          FROM w JOIN events USING (event_id) GROUP BY ALL)
-    SELECT w.user_id, w.event_id, w.window_no FROM w JOIN t USING (user_id, window_no)
-    WHERE bought OR epoch_ms(first) + 86400000 <= (SELECT epoch_ms(max(ts)) FROM events)""")
+@query(_UNTIL_TIMEOUT)
 def stream_conditional_window_timeout(spark, folder):
     return _stream_until(spark, folder, seconds=86_400).select("user_id", "event_id", "window_no")
 

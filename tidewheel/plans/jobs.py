@@ -6,7 +6,7 @@ only put a streaming source in front.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from tidewheel.operators import (
     parse_json,
     parse_locations,
     rebalance,
+    running_count,
     split_words,
     tokenize,
     tumbling,
@@ -29,7 +30,7 @@ from tidewheel.operators import (
     upper_lines,
     with_event_time,
 )
-from tidewheel.streaming import windows_until_stream
+from tidewheel.streaming import running_total_by_batch, windows_until_stream
 
 PERSON = T.StructType(
     [
@@ -69,6 +70,28 @@ def plain_word_count(lines: DataFrame, text: str = "value") -> DataFrame:
     return count_by(split_words(lines, text), "word")
 
 
+def running_word_count(lines: DataFrame, order: Sequence[str], text: str = "value", plain: bool = False) -> DataFrame:
+    """Each word of each line as a row with how often it has come up to there.
+
+    ``order`` are columns that say in which order the lines came (end it with a unique one).
+    They stay, with ``position``, the word's place in its line.
+    """
+    words = (split_words if plain else tokenize)(lines, text, order, "position")
+    return running_count(words, ["word"], [*order, "position"])
+
+
+def running_word_count_to_table(
+    build: Callable[[], DataFrame], spark: SparkSession, order: Sequence[str], text: str = "value", plain: bool = False
+) -> DataFrame:
+    """The same over a stream of lines run to its end: a row for each word of each line, whose
+    count goes on from micro-batch to micro-batch."""
+
+    def words() -> DataFrame:
+        return (split_words if plain else tokenize)(build(), text, order, "position")
+
+    return running_total_by_batch(words, spark, ["word"], [*order, "position"], "cnt")
+
+
 def socket_word_count(spark: SparkSession, host: str, port: int, plain: bool = False) -> DataFrame:
     """Either word count over a socket, to be started in update mode."""
     lines = sources.socket_lines(spark, host, port)
@@ -111,7 +134,7 @@ def sequence_windows(numbers: DataFrame, half: int, n: str = "n", delay: str | N
     """Numbers as out-of-order event times, the last one in each 3 s window, as text."""
     timed = numbers.select(n, fold_sequence(F.col(n), half).alias("v"))
     timed = with_event_time(timed, F.timestamp_millis("v"), delay)
-    last = tumbling_last(timed, "3 seconds", "v", ["v", n])
+    last = tumbling_last(timed, "3 seconds", "v", ["ts", n])
     return last.select("window_start", with_prefix("Window closed at event-time ", F.col("last")).alias("message"))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tidewheel.storage import new_folder
+
 
 def print_rows(df: DataFrame, n: int | None = None, mode: str = "append") -> StreamingQuery | None:
     """Print all rows, or the first ``n``; a stream does so for each micro-batch until it is stopped.
@@ -27,10 +29,24 @@ def print_rows(df: DataFrame, n: int | None = None, mode: str = "append") -> Str
     return None
 
 
-def collect_limited(df: DataFrame, n: int) -> list[Row]:
-    """Up to ``n`` rows on the client. For a stream, run it to a table first
-    (``streaming.append_to_table``)."""
-    return df.limit(n).collect()
+def collect_limited(df: DataFrame, n: int, mode: str = "append") -> list[Row]:
+    """Up to ``n`` rows on the client. A stream runs until it has given ``n`` rows and is stopped
+    then, so it must not end before."""
+    if not df.isStreaming:
+        return df.limit(n).collect()
+    got: dict[int, list[Row]] = {}  # by micro-batch, as one may come again
+
+    def take(batch: DataFrame, number: int) -> None:
+        missing = n - sum(len(rows) for other, rows in got.items() if other != number)
+        got[number] = batch.limit(missing).collect() if missing > 0 else []
+
+    query = each_batch(df, take, new_folder(df.sparkSession, "collect"), mode).start()
+    try:
+        while sum(map(len, got.values())) < n and query.isActive:
+            query.awaitTermination(0.2)
+    finally:
+        query.stop()
+    return [row for number in sorted(got) for row in got[number]]
 
 
 def delimited(df: DataFrame, separator: str = " ") -> DataFrame:

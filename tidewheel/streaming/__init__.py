@@ -2,5 +2,11 @@
 
 from tidewheel.streaming.batches import running_total_by_batch, windows_until_by_batch  # noqa: F401
 from tidewheel.streaming.counts import running_count_stream  # noqa: F401
-from tidewheel.streaming.runner import append_to_table, latest_to_table, stateful_settings, to_end  # noqa: F401
+from tidewheel.streaming.runner import (  # noqa: F401
+    append_and_close,
+    append_to_table,
+    latest_to_table,
+    stateful_settings,
+    to_end,
+)
 from tidewheel.streaming.until import windows_until_stream  # noqa: F401

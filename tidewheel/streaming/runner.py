@@ -6,6 +6,7 @@ a retry and a lost driver a restart from the checkpoint. Nothing is gathered on
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -100,6 +101,41 @@ def append_to_table(
     return table_at(spark, f"{folder}/rows", stream.schema)
 
 
+def append_and_close(
+    source: Callable[[], DataFrame],
+    build: Callable[[DataFrame], DataFrame],
+    spark: SparkSession,
+    time: str,
+    folder: str | None = None,
+    state_partitions: int | None = None,
+    closing_time: dt.datetime = dt.datetime(2262, 1, 1),
+) -> DataFrame:
+    """:func:`append_to_table` for a stream that has an end: what is still open then comes out too.
+
+    ``source`` makes the stream and ``build`` the frame from it, watermark on ``time`` included.
+    Once the source is read, one row of nulls with ``closing_time`` as its time moves the watermark
+    past all that is open. Its own window stays open, so it is in no result. The stream is closed
+    for good: rows that come to the source later are late. (Python holds times up to April 2262.)
+    """
+    folder = folder or new_folder(spark, "stream")
+    schema = source().schema
+    if not isinstance(schema[time].dataType, T.TimestampType):
+        raise TypeError(f"{time} must be a timestamp")
+    closing = f"{folder}/closing"
+    rows_of_closing = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+
+    def put(rows: list[tuple]) -> None:
+        spark.createDataFrame(rows, rows_of_closing).coalesce(1).write.mode("append").parquet(closing)
+
+    def both() -> DataFrame:
+        return build(source().unionByName(spark.readStream.schema(rows_of_closing).parquet(closing)))
+
+    put([])
+    append_to_table(both, spark, folder, state_partitions)
+    put([tuple(closing_time if f.name == time else None for f in schema)])
+    return append_to_table(both, spark, folder, state_partitions)
+
+
 def latest_to_table(
     build: Callable[[], DataFrame],
     spark: SparkSession,
