@@ -71,6 +71,28 @@ def test_wrapper_leaves_out_what_a_host_repeats(spark):
     assert pages.extracted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_near_copies_do_not_make_their_text_template(spark, tag):
+    def html(i, title, text):
+        return page(f"<div class=top>to {i} and {i * 7}</div><{tag}><h1>{title}</h1><p>{text}</p></{tag}><div class=low>All rights</div>")
+
+    shared = "Shared words that all copies have. More of them in a second sentence."
+    rows = [(i, f"http://a.org/{i}", html(i, "Shared", shared)) for i in range(20)] + [(20, "http://a.org/own", html(20, "Own title", "Quite another text, of this page alone."))]
+    rows += [(30 + i, f"http://b.org/{i}", html(i, "Shared", shared)) for i in range(2)] + [(32, "http://b.org/own", html(9, "Own title", "Quite another text, of this page alone."))]
+    got = {r.page_id: r.text for r in pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in (20, 32):
+        assert "Own title\nQuite another text, of this page alone." in got[i]
+    assert all(f"Shared\n{shared}" in got[i] for i in (*range(20), 30, 31))
+
+
+def test_article_copies_on_many_pages_stay(spark):
+    text = " ".join(f"Sentence {k} of the article." for k in range(30))
+    rows = [(i, f"http://a.org/{i}", page(f"<div class=top>to {i}</div><article><h1>T</h1><p>{text} Copy {i}.</p></article>")) for i in range(300)]
+    rows += [(1000 + i, f"http://a.org/o{i}", page(f"<div class=top>to {i}</div><article><h1>Own {i}</h1><p>{'own%d ' % i * 20}</p></article>")) for i in range(3)]
+    got = {r.page_id: r.text for r in pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(f"T\n{text} Copy {i}." in got[i] for i in range(300)) and all(f"Own {i}\nown{i} own{i}" in got[1000 + i] for i in range(3))
+
+
 def links_of(x, threshold=0.95):
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     close = unit @ unit.T >= threshold
