@@ -93,6 +93,17 @@ def test_article_copies_on_many_pages_stay(spark):
     assert all(f"T\n{text} Copy {i}." in got[i] for i in range(300)) and all(f"Own {i}\nown{i} own{i}" in got[1000 + i] for i in range(3))
 
 
+def test_an_article_card_is_not_the_page(spark):
+    def html(i):
+        own = " ".join(f"word{i}x{k}" for k in range(40))
+        return page(f"<div class=top>Our site</div><article class=card><h3>Card {i}</h3></article><div class=text><p>{own}</p></div><div class=low>All rights</div>"), own
+
+    rows = [(i, f"http://{'a.org' if i < 6 else f'h{i}.org'}/{i}", html(i)[0]) for i in range(8)]
+    got = {r.page_id: r.text for r in pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(6)] == [f"Card {i}\n{html(i)[1]}" for i in range(6)]
+    assert all(html(i)[1] in got[i] for i in (6, 7))  # a host of one page
+
+
 def links_of(x, threshold=0.95):
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     close = unit @ unit.T >= threshold
