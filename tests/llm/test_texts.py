@@ -317,6 +317,23 @@ def test_shards_are_uniform_and_written(spark, tmp_path):
     assert again.count() == 8000 and again.select("shard").distinct().count() == 16
 
 
+def test_the_sharding_query_places_and_writes_texts(spark, tmp_path, monkeypatch):
+    from tidewheel.llm import catalog
+
+    rows = [(i % 90 if i else None, None if i % 7 == 0 else f"text {i} " * (i % 50), "en", "web", 1) for i in range(300)] + [(1000, "é" * 3_000_000, "fr", "web", 3_000_000)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    paths = []
+    monkeypatch.setattr(sharding, "write_shards", lambda placed, path, f=sharding.write_shards: (paths.append(path), f(placed, path)))
+    got = catalog.op8_sharding(spark, str(tmp_path)).collect()
+    again = spark.read.parquet(*paths).select("doc_id", "text", "shard", "slot").collect()
+    by_slot = {(r.shard, r.slot): r for r in again}
+    assert len(again) == len(by_slot) == len(got) == 301
+    assert sorted(((r.doc_id, r.text) for r in again), key=str) == sorted(((r[0], r[1]) for r in rows), key=str)
+    for r in got:
+        text = (by_slot[r.shard, r.slot].text or "").encode()
+        assert (r.doc_id, r.size, r.text_crc32) == (by_slot[r.shard, r.slot].doc_id, len(text) + 1, zlib.crc32(text))
+
+
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     out = quality.scored(docs, quality.fit(docs, labels)).join(labels, "doc_id")

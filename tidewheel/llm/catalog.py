@@ -61,9 +61,9 @@ def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    records = read(spark, folder, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    placed = sharding.sharded(records, "size")
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    size = (F.octet_length(text) + 1).cast("long")
+    placed = sharding.written(sharding.sharded(read(spark, folder, "documents").withColumn("size", size), "size"))
+    return placed.select("doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 #: The listed rules of the query: verdict, host, path.

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidewheel.llm.jaccard import groups
 from tidewheel.llm.tables import stored
+from tidewheel.storage import new_folder
 
 SHARDS, SEED, BUCKET_BYTES = 16, 20_240_229, 32 << 20
 #: Bytes of a row besides its text, for the size of buckets.
@@ -51,7 +52,7 @@ def sharded(records: DataFrame, weight: str, shards: int = SHARDS, seed: int = S
     # rows that are equal in all columns still part: their place in the scan is hashed too
     place = F.monotonically_increasing_id()
     dealt = records.select(*names, F.pmod(F.xxhash64(F.lit(seed), place), F.lit(buckets)).cast("int").alias("__bucket"), place.alias("__place"))
-    dealt = stored(dealt, "scattered")
+    dealt = stored(dealt, "scattered", compression="zstd")
     sizes = dealt.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select("__bucket", (F.sum("n").over(Window.orderBy("__bucket")) - F.col("n")).alias("__before"))  # a row for each bucket
     placed = dealt.join(F.broadcast(before), "__bucket") if buckets <= 100_000 else dealt.join(before, "__bucket")
@@ -62,5 +63,15 @@ def sharded(records: DataFrame, weight: str, shards: int = SHARDS, seed: int = S
 
 
 def write_shards(placed: DataFrame, path: str) -> None:
-    """The rows of :func:`sharded` as Parquet, a folder for each shard, in the order of slots."""
-    placed.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """The rows of :func:`sharded` as Parquet, a folder for each shard; slots ascend within a file.
+
+    Each task of pass 2 writes its own buckets, so the texts are not shuffled again.
+    """
+    placed.sortWithinPartitions("shard", "slot").write.option("compression", "zstd").partitionBy("shard").parquet(path)
+
+
+def written(placed: DataFrame) -> DataFrame:
+    """The rows of :func:`sharded`, written as shards to the shared folder and read again."""
+    path = new_folder(placed.sparkSession, "llm-shards")
+    write_shards(placed, path)
+    return placed.sparkSession.read.schema(placed.schema).parquet(path).select(*placed.columns)

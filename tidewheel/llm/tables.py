@@ -12,11 +12,11 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage ends there.
 
     A lost executor then costs a read of these files, not the work before them.
     """
     path = new_folder(df.sparkSession, f"llm-{purpose}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
