@@ -40,7 +40,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens, by number and check sum of their ids."""
-    return packing.packed(docs, ids=False)
+    return packing.packed(docs, ids=False, tokens=packing.model_tokenizer)
 
 
 STAGES = [

@@ -241,6 +241,22 @@ def test_packing_ids_are_those_of_the_tokenizer():
         assert ids(text).tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_the_packing_query_has_the_ids_of_the_tokenizer_as_loaded(spark, tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    import numpy as np
+    import public_tokenizers
+
+    from tidewheel.llm import catalog
+
+    tok = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    added = [t.content for t in tok.get_added_tokens_decoder().values()]
+    texts = [f"a {x} b{x}{x}" for x in added] + [x[:-1] for x in added] + ["\x00\x1f   x  \n\n y\t\tz", "é ﬁ ½ 𝕏 👩‍👩‍👧", "'S 'LL don't", " " * 500 + "a"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    for r in catalog.op3_packing(spark, str(tmp_path)).collect():
+        ids = [*tok.encode(texts[r.doc_id], add_special_tokens=False).ids, packing.END_ID]
+        assert (r.doc_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes()))
+
+
 def test_packing_edges(spark):
     rows = [(None, None), (1, ""), (1, ""), (2, " " * 20000 + "x" * 20000), (3, "<|endoftext|>")]
     out = packing.packed(spark.createDataFrame(rows, "doc_id long, text string"), ids=False).collect()

@@ -33,7 +33,7 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed(read(spark, folder, "documents"), ids=False)
+    return packing.packed(read(spark, folder, "documents"), ids=False, tokens=packing.model_tokenizer)
 
 
 @query

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -24,12 +25,18 @@ GROUP_TOKENS, MAX_PADDING = 1 << 22, 0.005
 
 
 @functools.lru_cache(maxsize=4)
-def _encoding(ranks_path: str, pattern: str):
+def _encoding(ranks_path: str, pattern: str, model_path: str | None = None):
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    added = {}
+    if model_path:
+        with open(model_path, encoding="utf-8") as model:
+            added = {t["content"]: t["id"] for t in json.load(model)["added_tokens"]}
+        # an added token's id is not one of the merges
+        ranks = {token: i for token, i in ranks.items() if i not in set(added.values())}
+    return tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
 
 
 def tokenizer(ranks_path: str | None = None, pattern: str | None = None) -> Callable[[str], np.ndarray]:
@@ -40,6 +47,14 @@ def tokenizer(ranks_path: str | None = None, pattern: str | None = None) -> Call
     return lambda text: encoding.encode_to_numpy(text, disallowed_special=())
 
 
+def model_tokenizer() -> Callable[[str], np.ndarray]:
+    """Text to ids as the tokenizer loaded from ``byte_bpe_50k.json`` gives them: an added token in a text is its one id."""
+    import public_tokenizers
+
+    encoding = _encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
+
+
 class Windows:
     """Open windows by the room they have left."""
 
