@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewheel.llm import contamination, jaccard, language, packing, pages, quality, sharding, substrings, urls, vectors
+from tidewheel.llm import audit, contamination, jaccard, language, packing, pages, quality, sharding, substrings, tokencounts, urls, veccodes, vectors
 from tidewheel.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,21 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (~quality.trained_on(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audited(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return veccodes.codes(read(spark, folder, "embeddings"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencounts.counted(read(spark, folder, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLES["op2_decontamination"] = r"""
@@ -132,3 +147,74 @@ WITH docs AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM docs d LEFT JOIN kept k USING (doc_id) LEFT JOIN removed r USING (doc_id)
 """
+
+ORACLES["op11_filter_audit"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), judged AS (
+  SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails
+  FROM texts
+), rows AS (
+  SELECT part, fails, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic FROM judged
+), sets AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM rows GROUP BY part, fails
+), orders AS (
+  SELECT '' AS filter_order, 0 AS l
+  UNION ALL
+  SELECT filter_order || f, l + 1 FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS v(f) WHERE NOT contains(filter_order, f)
+), steps AS (
+  SELECT filter_order, CAST(step AS INT) AS step, instr('ABCDE', substr(filter_order, CAST(step AS INT), 1)) AS own,
+    list_transform(range(1, step), lambda i: instr('ABCDE', substr(filter_order, CAST(i AS INT), 1))) AS earlier
+  FROM orders, range(1, 6) AS r(step) WHERE l = 5
+), counted AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS fails_own, list_bool_or(list_transform(earlier, lambda i: fails[i])) AS gone,
+    list_sum(list_transform(fails, lambda f: f::INT)) AS failed
+  FROM sets, (SELECT * FROM steps) s
+), found AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT coalesce(gone, false) AND NOT fails_own), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (NOT coalesce(gone, false) AND fails_own), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (coalesce(gone, false) AND fails_own), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails_own AND failed = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT coalesce(gone, false) AND fails_own), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT coalesce(gone, false) AND fails_own), 0)::BIGINT AS toxic_lost
+  FROM counted GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM found
+"""
+
+_NEAREST = """
+  SELECT r.vec_id, r.label, r.p, arg_min(b.e, (list_sum(list_transform(list_zip(r.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), b.e)) AS e,
+    min(list_sum(list_transform(list_zip(r.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS d, any_value(r.x) AS x
+  FROM cut r JOIN {book} b USING (p) GROUP BY r.vec_id, r.label, r.p"""
+_MEANS = """
+  SELECT b.p, b.e, CASE WHEN count(a.e) = 0 THEN any_value(b.x) ELSE list_transform(range(1, 1 + any_value(len(b.x))), lambda i:
+    floor(list_sum(list_transform(list(a.x), lambda v: v[i])) / count(a.e))::BIGINT) END AS x
+  FROM {book} b LEFT JOIN {near} a USING (p, e) GROUP BY b.p, b.e"""
+ORACLES["op12_vector_codes"] = f"""
+WITH ints AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS (
+  SELECT vec_id, label, p, list_slice(x, p * len(x) // 16 + 1, (p + 1) * len(x) // 16) AS x FROM ints, range(0, 16) AS r(p)
+), seeds AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM ints QUALIFY e < 64
+), book0 AS (
+  SELECT p, e, x FROM cut JOIN seeds USING (vec_id)
+), near0 AS MATERIALIZED ({_NEAREST.format(book="book0")}
+), book1 AS MATERIALIZED ({_MEANS.format(book="book0", near="near0")}
+), near1 AS MATERIALIZED ({_NEAREST.format(book="book1")}
+), book2 AS MATERIALIZED ({_MEANS.format(book="book1", near="near1")}
+), near2 AS MATERIALIZED ({_NEAREST.format(book="book2")}
+), coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near2 GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded
+"""
