@@ -125,7 +125,7 @@ def test_window_starts_over_batches(millis, batch_rows):
 
     import pyarrow as pa
 
-    from tidewheel.operators.until import _window_starts
+    from tidewheel.operators.chains import _window_starts
 
     rng, rows = random.Random(millis), []
     for key in [None, "a", "b", "c"]:
@@ -141,3 +141,52 @@ def test_window_starts_over_batches(millis, batch_rows):
     table = pa.table(list(zip(*rows)), schema=schema)
     got = _window_starts(["k", "s"], millis)(iter(table.to_batches(batch_rows)))
     assert [tuple(r.values()) for b in got for r in b.to_pylist()] == want
+
+
+# --- chains cut into slices ---
+
+CHAIN = "k string, s long, at long, extra string"
+
+
+def chain_by_hand(rows, step):
+    out, last = [], {}
+    for k, s, at, _ in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        if (k, s) not in last or at >= last[k, s] + step:
+            last[k, s] = at
+            out.append((k, s, at))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("step", [9, 4000, 10**7])
+@pytest.mark.parametrize("spread", [6_000, 10**6])
+def test_chain_over_slices(spark, step, spread):
+    import random
+
+    rng = random.Random(step)
+    times = rng.sample(range(spread), 3000)
+    gap = [t if t < spread // 2 else t + 50_000 for t in times]  # a stretch without any value
+    rows = [(None, 0, t, "x") for t in gap] + [("b", 1, t, "y") for t in times[:900]] + [("c", i, t, "z") for i in range(3) for t in times[:40]]
+    rows.append((None, 0, -(1 << 62), "no time"))
+    df = spark.createDataFrame(rows, CHAIN)
+    from tidewheel.operators.chains import chain_starts
+
+    for split_rows in (None, 200):
+        got = chain_starts(df, ["k", "s"], "at", step, split_rows)
+        assert got.columns == df.columns
+        assert sorted(((r.k, r.s, r.at) for r in got.collect()), key=str) == chain_by_hand(rows, step)
+
+
+def test_one_key_without_a_trigger_runs_in_many_tasks(spark):
+    """A million distinct times of one key and no trigger: no task follows the chain alone."""
+    from tidewheel.operators.chains import chain_starts
+
+    at = F.col("id") * 7 + F.pmod(F.xxhash64("id"), F.lit(5))
+    df = spark.range(0, 1_000_000, 1, 8).select(F.lit("k").alias("k"), F.lit(0).cast("long").alias("s"), at.alias("at"))
+    got = chain_starts(df, ["k", "s"], "at", 1000, split_rows=100_000)
+    found = got.select("at", F.spark_partition_id().alias("task")).collect()
+    want = []
+    for time in sorted(r.at for r in df.collect()):
+        if not want or time >= want[-1] + 1000:
+            want.append(time)
+    assert sorted(r.at for r in found) == want
+    assert len({r.task for r in found}) > 1

@@ -1,5 +1,7 @@
 """DataFrame-to-DataFrame operators."""
 
+from tidewheel.operators.chains import chain_starts  # noqa: F401
+from tidewheel.operators.interval import interval_join, stream_interval_join  # noqa: F401
 from tidewheel.operators.keyed import (  # noqa: F401
     count_by,
     latest_by_key,
@@ -12,6 +14,7 @@ from tidewheel.operators.text import lines_starting_with, split_words, tokenize,
 from tidewheel.operators.timewin import tumbling, tumbling_last, with_event_time  # noqa: F401
 from tidewheel.operators.until import (  # noqa: F401
     gather_windows,
+    numbered_until,
     windows_until,
     windows_until_capped,
     windows_until_timeout,

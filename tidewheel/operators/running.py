@@ -142,13 +142,21 @@ def _all_levels(df: DataFrame, order: Sequence[str]) -> list[_Level]:
 
 
 def find_hot_keys(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int = SPLIT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    split_rows: int = SPLIT_ROWS,
+    counts: DataFrame | None = None,
 ) -> HotKeys | None:
     """Keys of more than ``split_rows`` rows and where to cut them; None if there are none.
 
-    Runs one count per key and, only if a key is hot, takes a sample of the rows of the hot keys.
+    Runs one count per key (spared if ``counts`` has each key with its number of rows ``n``) and,
+    only if a key is hot, takes a sample of the rows of the hot keys.
     """
-    counted = df.select(_key_hash(keys).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    if counts is None:
+        counted = df.select(_key_hash(keys).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    else:
+        counted = counts.select(_key_hash(keys).alias("h"), "n")
     hashes = [r["h"] for r in counted.where(F.col("n") > split_rows).select("h").collect()]
     levels = _all_levels(df, order)
     if not hashes or not levels:
@@ -264,8 +272,14 @@ def running_fold(
 
 
 def running_count(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "cnt", split_rows: int = SPLIT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = "cnt",
+    split_rows: int = SPLIT_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """``df`` with the number of rows of the key so far: the total as of each record."""
-    hot = find_hot_keys(df, keys, order, split_rows)
+    """``df`` with the number of rows of the key so far: the total as of each record. ``counts`` is
+    what :func:`find_hot_keys` takes."""
+    hot = find_hot_keys(df, keys, order, split_rows, counts)
     return running_fold(df, keys, order, [Fold(name, F.lit(1).cast("long"))], hot)

@@ -6,16 +6,14 @@ length; :func:`gather_windows` makes one row with a list per window for sinks th
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.operators.running import SPLIT_ROWS, Fold, find_hot_keys, running_fold
+from tidewheel.operators.chains import chain_starts
+from tidewheel.operators.running import SPLIT_ROWS, Fold, HotKeys, find_hot_keys, running_fold
 
 _FLAG = "__trigger"
 # Stands for no time: before all others, and further from them than any time limit.
@@ -63,6 +61,24 @@ def gather_windows(
     return gathered.withColumn("events", keep)
 
 
+def _capped(
+    df: DataFrame, keys: list[str], order: Sequence[str], trigger: Column, max_events: int, hot: HotKeys | None
+) -> DataFrame:
+    """All rows with ``window_no``, ``chunk``, ``__at`` (place in the window, from 1) and ``__closed``."""
+    flagged = df.withColumn(_FLAG, _as_flag(trigger))
+    folds = [Fold("window_no", F.col(_FLAG), inclusive=False), Fold("__windows", F.col(_FLAG), whole=True)]
+    labelled = running_fold(flagged, keys, order, folds, hot)
+
+    # plain windows by (key, window) need no further shuffle: rows are already together by key
+    one = F.lit(1).cast("long")
+    places = [Fold("__at", one), Fold("__rows", one, whole=True)]
+    counted = running_fold(labelled, [*keys, "window_no"], order, places, hot)
+    chunk = F.expr(f"(__at - 1) div {int(max_events)}")
+    full = (F.col("chunk") + 1) * max_events <= F.col("__rows")
+    closed = (F.col("window_no") < F.col("__windows")) | full
+    return counted.withColumn("chunk", chunk).withColumn("__closed", closed).drop("__rows", "__windows", _FLAG)
+
+
 def windows_until_capped(
     df: DataFrame,
     keys: Sequence[str],
@@ -76,70 +92,49 @@ def windows_until_capped(
     Adds ``window_no`` (triggers before the row) and ``chunk`` (the window's place among the
     ones that the cap cut). Only rows of closed windows come out; the rest still waits.
     """
-    keys = list(keys)
     hot = find_hot_keys(df, keys, order, split_rows)
-    flagged = df.withColumn(_FLAG, _as_flag(trigger))
-    folds = [Fold("window_no", F.col(_FLAG), inclusive=False), Fold("__windows", F.col(_FLAG), whole=True)]
-    labelled = running_fold(flagged, keys, order, folds, hot)
+    return _capped(df, list(keys), order, trigger, max_events, hot).where("__closed").drop("__at", "__closed")
 
-    # plain windows by (key, window) need no further shuffle: rows are already together by key
-    one = F.lit(1).cast("long")
-    places = [Fold("__at", one), Fold("__rows", one, whole=True)]
-    counted = running_fold(labelled, [*keys, "window_no"], order, places, hot)
-    chunk = F.expr(f"(__at - 1) div {int(max_events)}")
-    full = (F.col("chunk") + 1) * max_events <= F.col("__rows")
-    triggered = F.col("window_no") < F.col("__windows")
-    return (
-        counted.withColumn("chunk", chunk).where(triggered | full).drop("__at", "__rows", "__windows", _FLAG)
-    )
 
+def numbered_until(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    trigger: Column,
+    max_events: int | None = None,
+    seconds: float | None = None,
+    now: int | None = None,
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
+    """All rows with their window's number (``window_no``, from 0 per key, whatever ended the window
+    before) and ``__open``: whether the window still waits for more rows.
 
-def _starts_of_groups(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
-    """Rows at which the values of ``names`` change, with row 0. Nulls are equal."""
-    ends = [pc.run_end_encode(batch.column(n)).run_ends.to_numpy() for n in names]
-    return np.concatenate([[0], np.unique(np.concatenate(ends))[:-1]])
-
-
-def _window_starts(group_by: Sequence[str], millis: int):
-    """Thin sorted distinct times to window starts: the first of each group, then always the
-    first that is at least ``millis`` after the one before. Holds one batch at a time."""
-
-    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, deadline = None, 0  # of the last start so far
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            times = batch.column("__ms").to_numpy()
-            groups = _starts_of_groups(batch, group_by)
-            first = tuple(batch.column(n)[0].as_py() for n in group_by)
-            # A row that long after the row before it is a start whatever came before; from
-            # one of these to the next there is a stretch, and most have but that one start.
-            sure = np.zeros(len(times), dtype=bool)
-            sure[1:] = np.diff(times) >= millis
-            sure[groups] = True
-            sure[0] = first != group
-            begins = np.flatnonzero(sure)
-            if not sure[0]:  # the last batch's group goes on
-                begins = np.concatenate([[0], begins])
-            ends = np.concatenate([begins[1:], [len(times)]])
-            deadlines = times[begins]
-            if not sure[0]:
-                deadlines[0] = deadline
-            dense = times[ends - 1] >= deadlines + millis
-            dense[0] |= not sure[0]
-            picked = [begins[~dense]]
-            for a, b, deadline in zip(begins[dense], ends[dense], deadlines[dense]):
-                at = a + np.searchsorted(times[a:b], deadline)
-                while at < b:
-                    picked.append([at])
-                    deadline = times[at] + millis
-                    at += np.searchsorted(times[at:b], deadline)
-            if not dense[-1]:
-                deadline = deadlines[-1] + millis
-            group = tuple(batch.column(n)[len(times) - 1].as_py() for n in group_by)
-            yield batch.take(pa.array(np.sort(np.concatenate(picked)).astype("int64")))
-
-    return starts
+    A window ends with a trigger, at ``max_events`` rows, or ``seconds`` after its first row, of
+    which one or the other may be given. Time has run out where a later row says so or ``now``, in
+    milliseconds, has reached the limit.
+    """
+    if max_events and seconds:
+        raise ValueError("a window ends at a number of rows or after a time, not both")
+    keys, order = list(keys), list(order)
+    hot = find_hot_keys(df, keys, order, split_rows)
+    if max_events:
+        counted = _capped(df, keys, order, trigger, max_events, hot)
+        first = F.expr(f"(__at - 1) % {int(max_events)} = 0").cast("long")
+        counted = running_fold(counted.drop("window_no"), keys, order, [Fold("__n", first)], hot)
+        return counted.select(*df.columns, (F.col("__n") - 1).alias("window_no"), (~F.col("__closed")).alias("__open"))
+    flag = _as_flag(trigger)
+    if not seconds:
+        folds = [Fold("window_no", flag, inclusive=False), Fold("__windows", flag, whole=True)]
+        labelled = running_fold(df, keys, order, folds, hot)
+        return labelled.select(*df.columns, "window_no", (F.col("window_no") == F.col("__windows")).alias("__open"))
+    labelled = _timed(df, keys, order, trigger, seconds, hot, split_rows)
+    labelled = running_fold(labelled, keys, order, [Fold("__last", F.col("window_no"), "max", whole=True)], hot)
+    start = -F.unix_millis(order[0])
+    folds = [Fold("__done", flag, "max", whole=True), Fold("__start", start, "max", whole=True)]
+    labelled = running_fold(labelled, [*keys, "window_no"], order, folds, hot)
+    over = F.lit(False) if now is None else F.coalesce(-F.col("__start") + int(seconds * 1000) <= now, F.lit(False))
+    waits = (F.col("window_no") == F.col("__last")) & (F.col("__done") == 0) & ~over
+    return labelled.select(*df.columns, "window_no", waits.alias("__open"))
 
 
 def windows_until_timeout(
@@ -158,31 +153,34 @@ def windows_until_timeout(
     too, so all rows come out. Adds ``window_no`` (from 0 per key). Rows without a time come
     first; they make windows of their own, ended by a trigger or the first row with a time.
 
-    Where a window starts depends on where the one before did, so that chain is followed in
-    order. It runs over the distinct milliseconds only, per (key, stretch between triggers),
-    a batch at a time: at most 86.4 million numbers for a day of the busiest key, however many
-    rows it has. The rows themselves never leave the JVM: the starts come back as markers in
-    front of the first row of their window, and a running count numbers the windows.
+    Where a window starts depends on where the one before did. That chain is followed over the
+    distinct milliseconds only, per (key, stretch between triggers); one of more than
+    ``split_rows`` of them is cut into slices (:mod:`tidewheel.operators.chains`). The rows
+    themselves never leave the JVM: the starts come back as markers in front of the first row
+    of their window, and a running count numbers the windows.
     """
     keys, order = list(keys), [time, *tie_break]
     if not isinstance(df.schema[time].dataType, T.TimestampType):
         raise TypeError(f"{time} must be a timestamp")
-    hot = find_hot_keys(df, keys, order, split_rows)
+    return _timed(df, keys, order, trigger, seconds, find_hot_keys(df, keys, order, split_rows), split_rows)
+
+
+def _timed(
+    df: DataFrame, keys: list[str], order: list[str], trigger: Column, seconds: float, hot: HotKeys | None, split_rows: int
+) -> DataFrame:
     labelled = running_fold(df, keys, order, [Fold("__stretch", _as_flag(trigger), inclusive=False)], hot)
 
     names = {k: f"__k{i}" for i, k in enumerate(keys)}
     group = [*names.values(), "__stretch"]
     times = (
         labelled.select(*[F.col(k).alias(n) for k, n in names.items()], "__stretch", *order)
-        .groupBy(*group, F.coalesce(F.unix_millis(time), F.lit(_UNTIMED)).alias("__ms"))
+        .groupBy(*group, F.coalesce(F.unix_millis(order[0]), F.lit(_UNTIMED)).alias("__ms"))
         .agg(F.min(F.struct(*order)).alias("__first"))
     )
-    chained = times.repartition(*group).sortWithinPartitions(*group, "__ms")
-    starts = chained.mapInArrow(_window_starts(group, int(seconds * 1000)), chained.schema)
+    # no more distinct times than rows: without a hot key no chain is long
+    starts = chain_starts(times, group, "__ms", int(seconds * 1000), split_rows if hot else None)
 
-    markers = starts.select(
-        *[F.col(n).alias(k) for k, n in names.items()], "__first.*", F.lit(0).alias("__row")
-    )
+    markers = starts.select(*[F.col(n).alias(k) for k, n in names.items()], "__first.*", F.lit(0).alias("__row"))
     marked = df.withColumn("__row", F.lit(1)).unionByName(markers, allowMissingColumns=True)
     windows = Fold("__windows", (F.lit(1) - F.col("__row")).cast("long"))
     numbered = running_fold(marked, keys, [*order, "__row"], [windows], hot)

@@ -18,6 +18,7 @@ from tidewheel.operators import (
     count_by,
     flatten_valid,
     gather_windows,
+    interval_join,
     latest_by_key,
     parse_json,
     parse_locations,
@@ -40,6 +41,8 @@ from tidewheel.streaming import (
     latest_to_table,
     running_count_stream,
     running_total_by_batch,
+    split_late_by_batch,
+    windows_by_batch,
     windows_until_by_batch,
     windows_until_stream,
 )
@@ -339,6 +342,41 @@ def conditional_window_timeout(spark, folder):
     return rows.select("user_id", "event_id", "window_no")
 
 
+# --- interval joins ---
+
+_SIGNUP_ERRORS = """
+    SELECT s.user_id, s.event_id AS signup_id, e.event_id AS error_id
+    FROM events s JOIN events e ON s.user_id = e.user_id
+        AND e.ts BETWEEN s.ts AND s.ts + INTERVAL '10 minutes'
+    WHERE s.event_type = 'signup' AND e.event_type = 'error'"""
+
+
+def _sides(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    signups = events.where("event_type = 'signup'").select("user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("signed_up"))
+    errors = events.where("event_type = 'error'").select("user_id", F.col("event_id").alias("error_id"), F.col("ts").alias("failed"))
+    return signups, errors
+
+
+@query(_SIGNUP_ERRORS)
+def interval_join_signup_errors(spark, folder):
+    """Errors that a user meets within ten minutes of a signup."""
+    pairs = interval_join(*_sides(read_table(spark, folder, "events")), ["user_id"], "signed_up", "failed", "0 minutes", "10 minutes")
+    return pairs.select("user_id", "signup_id", "error_id")
+
+
+@query("""
+    SELECT a.event_id AS purchase_id, b.event_id AS error_id
+    FROM events a JOIN events b ON b.ts BETWEEN a.ts - INTERVAL '20 minutes' AND a.ts - INTERVAL '1 minute'
+    WHERE a.event_type = 'purchase' AND b.event_type = 'error'""")
+def interval_join_one_key(spark, folder):
+    """All rows under one key: purchases and the errors of anyone in the minutes before."""
+    events = read_table(spark, folder, "events").withColumn("all", F.lit(0))
+    bought = events.where(PURCHASE).select("all", F.col("event_id").alias("purchase_id"), F.col("ts").alias("bought"))
+    failed = events.where("event_type = 'error'").select("all", F.col("event_id").alias("error_id"), F.col("ts").alias("failed"))
+    pairs = interval_join(bought, failed, ["all"], "bought", "failed", "-20 minutes", "-1 minute")
+    return pairs.select("purchase_id", "error_id")
+
+
 # --- JSON records ---
 
 PROPS = T.StructType([T.StructField("k", T.IntegerType())])
@@ -534,6 +572,13 @@ def _stream_until(spark, folder, **ends) -> DataFrame:
     )
 
 
+def _windows_by_batch(spark, folder, **ends) -> DataFrame:
+    def build():
+        return _event_stream(spark, folder, "user_id", "event_id", "event_type", "ts")
+
+    return windows_by_batch(build, spark, ["user_id"], IN_ORDER, PURCHASE, **ends)
+
+
 def _stream_lists(rows: DataFrame) -> DataFrame:
     return gather_windows(rows, ["user_id"], ["place"], ["event_id"]).select("user_id", "window_no", "n", _ids())
 
@@ -551,16 +596,69 @@ def stream_conditional_window_by_batch(spark, folder):
     return _lists(windows_until_by_batch(build, spark, ["user_id"], IN_ORDER, PURCHASE))
 
 
+@query(_SIGNUP_ERRORS)
+def stream_interval_join(spark, folder):
+    """The same of two streams: what can meet no more leaves the state as the watermarks pass."""
+
+    def build():
+        sides = [_event_stream(spark, folder, "user_id", "event_id", "event_type", "ts") for _ in range(2)]
+        signups, errors = _sides(sides[0])[0], _sides(sides[1])[1]
+        timed = signups.withWatermark("signed_up", "1 minute"), errors.withWatermark("failed", "1 minute")
+        return interval_join(*timed, ["user_id"], "signed_up", "failed", "0 minutes", "10 minutes")
+
+    return append_to_table(build, spark).select("user_id", "signup_id", "error_id")
+
+
+# Three arrivals: each third of the events comes with its time, but for every tenth event, which comes last.
+_ARRIVALS = """
+    WITH t AS (SELECT max(event_id) + 1 AS n FROM events),
+    a AS (SELECT event_id, ts, CASE WHEN event_id % 10 = 3 THEN 2 ELSE event_id * 3 // n END AS arrival FROM events, t),
+    m AS (SELECT k, (SELECT max(ts) FROM a WHERE arrival < k) - INTERVAL '1 day' AS watermark FROM range(0, 3) AS r(k))
+    SELECT event_id, arrival::INT AS arrival, coalesce(ts < watermark, false) AS late
+    FROM a JOIN m ON k = arrival"""
+
+
+@query(_ARRIVALS)
+def stream_late_rows(spark, folder):
+    """Rows in time and late rows of three micro-batches, with a day's delay: together all rows."""
+    events = read_table(spark, folder, "events").select("event_id", _zoned("ts").alias("ts"))
+    n = events.agg(F.max("event_id")).first()[0] + 1
+    arrival = F.when(F.col("event_id") % 10 == 3, 2).otherwise(F.expr(f"event_id * 3 div {n}")).cast("int")
+    path = new_folder(spark, "arrivals")
+    for k in range(3):  # a stream takes files by the time they were written
+        events.withColumn("arrival", arrival).where(F.col("arrival") == k).coalesce(1).write.mode("append").parquet(path)
+
+    def build():
+        return spark.readStream.schema("event_id long, ts timestamp, arrival int").option("maxFilesPerTrigger", 1).parquet(path)
+
+    in_time, late = split_late_by_batch(build, spark, "ts", 86_400)
+    both = [df.select("event_id", "arrival", F.lit(flag).alias("late")) for df, flag in ((in_time, False), (late, True))]
+    return both[0].unionByName(both[1])
+
+
 # The stream numbers a key's windows through, whatever closed them.
 @query("""
     SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY window_no, chunk) - 1 AS window_no, n, ids
     FROM (""" + _UNTIL_CAPPED + ")")
 def stream_conditional_window_capped(spark, folder):
-    return _stream_lists(_stream_until(spark, folder, max_events=3))
+    return _lists(_windows_by_batch(spark, folder, max_events=3))
 
 
 @query(_UNTIL_TIMEOUT)
 def stream_conditional_window_timeout(spark, folder):
+    return _windows_by_batch(spark, folder, seconds=86_400, close=True).select("user_id", "event_id", "window_no")
+
+
+# The same with a state for each key instead of tables, for small, frequent micro-batches.
+@query("""
+    SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY window_no, chunk) - 1 AS window_no, n, ids
+    FROM (""" + _UNTIL_CAPPED + ")")
+def stream_conditional_window_capped_by_state(spark, folder):
+    return _stream_lists(_stream_until(spark, folder, max_events=3))
+
+
+@query(_UNTIL_TIMEOUT)
+def stream_conditional_window_timeout_by_state(spark, folder):
     return _stream_until(spark, folder, seconds=86_400).select("user_id", "event_id", "window_no")
 
 
