@@ -264,7 +264,7 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, shingl
     members = members.select("node", "name", "size", "weight", "run", "leaves", "part", F.xxhash64("leaf", "meets").alias("block"), F.expr("meets.i = meets.j").alias("same"))
     needed = members.repartition("block").sortWithinPartitions("block").mapInArrow(_needed(similarity), members.schema)
     sets = texts.mapInArrow(_shingles(shingle), "doc_id long, name long, shingles binary").withColumnRenamed("doc_id", "node")
-    full = needed.join(sets, ["node", "name"])
+    full = needed.join(sets.dropDuplicates(["node", "name"]), ["node", "name"])  # rows may repeat
     links = full.repartition("block").sortWithinPartitions("block").mapInArrow(_linked(similarity), "node long, name long, root long, links long")
     links = stored(links, "links")
 
