@@ -188,20 +188,25 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, recall: fl
     Two vectors are linked if their cosine is at least ``threshold`` and one visits the other's cell; about ``recall``
     of pairs just at the threshold do, more of nearer ones. n_links counts the other rows linked with this one.
 
-    Vectors that are null, empty, zero or hold null or non-finite components have no links, nor have those of another
-    dimension than the most frequent one, nor rows without vec_id (their component is null and they are kept). Rows
-    that repeat a vec_id are linked if their vectors are. Other columns are not looked at.
+    Vectors that are null, empty, zero or hold null or non-finite components have no links, nor have rows without vec_id
+    (their component is null and they are kept). Vectors of different lengths are never linked; each length has an index
+    of its own. Rows that repeat a vec_id are linked if their vectors are. Other columns are not looked at.
     """
-    spark = embeddings.sparkSession
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     known = stored(rows.mapInArrow(_checked, "vec_id long, dim int, vector binary"), "vectors")
-    dims = known.where("dim IS NOT NULL AND vec_id IS NOT NULL").groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).first()
-    alone = F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
-    if dims is None:
-        return known.select("vec_id", *alone)
-    dim = dims.dim
-    usable = F.coalesce((F.col("dim") == dim) & F.col("vec_id").isNotNull(), F.lit(False))
-    named = known.where(usable).select("vec_id", "vector", F.xxhash64("vector").alias("name"))
+    usable = F.col("dim").isNotNull() & F.col("vec_id").isNotNull()
+    # one row for each length of vectors
+    dims = [r.dim for r in known.where(usable).select("dim").distinct().orderBy("dim").collect()]
+    out = known.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    for dim in dims:
+        named = known.where(usable & (F.col("dim") == dim)).select("vec_id", "vector", F.xxhash64("vector").alias("name"))
+        out = _of_one_length(named, dim, threshold, recall, cell, block).union(out)
+    return out
+
+
+def _of_one_length(named: DataFrame, dim: int, threshold: float, recall: float, cell: int, block: int) -> DataFrame:
+    """The result for rows (vec_id, vector, name) of ``dim`` components."""
+    spark = named.sparkSession
     classes = named.groupBy("name").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("weight"))
     firsts = named.withColumnRenamed("vec_id", "node").dropDuplicates(["node", "name"]).join(classes, ["name", "node"])
     firsts = stored(firsts, "distinct-vectors")
@@ -227,5 +232,4 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, recall: fl
     counts = links.groupBy("node", "name").agg(F.sum("links").alias("links"))
     of_class = classes.join(counts, ["node", "name"], "left").join(roots, "node", "left")
     of_class = of_class.select("name", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id"))
-    found = named.select("vec_id", "name").join(of_class, "name").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
-    return found.union(known.where(~usable).select("vec_id", *alone))
+    return named.select("vec_id", "name").join(of_class, "name").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
