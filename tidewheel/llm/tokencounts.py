@@ -6,9 +6,9 @@ what is around it, so the tokens of a text are the tokens of its segments.
 
 1. Distinct segments are counted over all texts, within each task first.
 2. Each distinct segment is tokenised once.
-3. Each text's segment frequencies are joined to these counts and summed. The ``KNOWN`` most frequent segments go to
-   all executors and are summed where the text is read; the rest, none of which can hold more than one in ``KNOWN`` of
-   all segments, is joined by shuffle.
+3. Each text's segment frequencies are joined to these counts and summed. The most frequent segments, ``KNOWN`` at
+   most, go to all executors and are summed where the text is read; the rest, none of which makes up much more than one
+   in ``KNOWN`` of all segments, is joined by shuffle.
 """
 
 from __future__ import annotations
@@ -29,11 +29,11 @@ from tidewheel.llm.tables import stored
 
 LIMIT = 4096
 #: Segments that are broadcast, each as a key of at most 65 characters and a number.
-KNOWN = 1 << 16
+KNOWN = 1 << 18
 #: Longer segments go by a digest.
 KEY_CHARS = 32
 #: Distinct segments a task holds before it gives them away; entries of one row of frequencies; rows taken at once.
-HELD, ENTRIES, ROWS = 1 << 17, 4096, 256
+HELD, ENTRIES, ROWS = 1 << 18, 4096, 256
 SPACE = "▁"  # how a piece writes a space
 
 
@@ -145,7 +145,7 @@ def _frequencies(path: str | None, shared) -> Callable:
                 at, own = pa.array(taken, pa.int64()), pa.array(own)
                 size = pa.compute.if_else(own, part.column("n_bytes").take(at), pa.scalar(None, pa.int64()))
                 arrays = [pa.array([number + i for i in taken], pa.int64()), part.column("doc_id").take(at), size, pa.array(sums, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(keys, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))], names)
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(keys, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32()))], names)
                 number += part.num_rows
 
     return run
@@ -158,6 +158,23 @@ def vocabulary(documents: DataFrame, path: str | None = None) -> DataFrame:
     return distinct.mapInArrow(_tokenised(path), "key string, times long, tokens long")
 
 
+def _often(pieces: DataFrame, known: int) -> dict[str, int]:
+    """The tokens of the most frequent segments, ``known`` at most: all those above a frequency. Frequencies are counted
+    in sixteenths of a power of two, so a few hundred numbers come to the driver before them."""
+    level = F.floor(F.log2("times") * 16)
+    found = pieces.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect()
+    least, n = None, 0
+    for r in found:
+        n += r.n
+        if n > known:
+            break
+        least = r.level
+    if least is None:
+        return {}
+    top = pieces.where(level >= least).select("key", "tokens").toArrow()
+    return dict(zip(top.column("key").to_pylist(), top.column("tokens").to_pylist(), strict=True))
+
+
 def counted(documents: DataFrame, path: str | None = None, limit: int = LIMIT, known: int = KNOWN) -> DataFrame:
     """doc_id, n_bytes, n_tokens (long) and over_limit (n_tokens > ``limit``) for each row of ``documents``.
 
@@ -168,13 +185,12 @@ def counted(documents: DataFrame, path: str | None = None, limit: int = LIMIT, k
     """
     spark = documents.sparkSession
     pieces = stored(vocabulary(documents, path), "pieces")
-    top = pieces.orderBy(F.desc("times"), "key").limit(known).select("key", "tokens").collect()
-    shared = spark.sparkContext.broadcast({r.key: r.tokens for r in top})
+    shared = spark.sparkContext.broadcast(_often(pieces, known))
     docs = documents.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     numbers = [T.StructField(n, T.LongType()) for n in ("n_bytes", "known")]
-    lists = [T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("times", T.ArrayType(T.LongType()))]
+    lists = [T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("times", T.ArrayType(T.IntegerType()))]
     kinds = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", docs.schema["doc_id"].dataType), *numbers, *lists])
-    texts = stored(docs.mapInArrow(_frequencies(path, shared), kinds), "frequencies")
+    texts = stored(docs.mapInArrow(_frequencies(path, shared), kinds), "frequencies", compression="zstd")
     rest = texts.select("row", F.explode(F.arrays_zip("keys", "times")).alias("e")).select("row", F.col("e.keys").alias("key"), F.col("e.times").alias("n"))
     sums = rest.join(pieces.select("key", "tokens"), "key").groupBy("row").agg(F.sum(F.col("n") * F.col("tokens")).alias("more"))
     own = texts.where(F.col("n_bytes").isNotNull()).select("row", "doc_id", "n_bytes", "known")
