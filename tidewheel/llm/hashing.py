@@ -20,12 +20,14 @@ _tables: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """``base**0 .. base**(n - 1)`` modulo 2**64."""
+    """``base**0 .. base**(n - 1)`` modulo 2**64. The powers a chunk may need are kept, more are not."""
     table = _tables.get(base)
     if table is None or len(table) < n:
-        table = np.full(max(n, CHUNK_BYTES + 2), base, np.uint64)
-        table[0] = 1
-        _tables[base] = table = np.cumprod(table, dtype=np.uint64)
+        table = np.full(n, base, np.uint64)
+        table[:1] = 1
+        table = np.cumprod(table, dtype=np.uint64)
+        if n <= CHUNK_BYTES + 2:
+            _tables[base] = table
     return table[:n]
 
 

@@ -1,10 +1,11 @@
 """Quality classifier: random-indexing word vectors pooled by document, and a two-layer network.
 
 Each token is hashed to one of ``SLOTS`` slots. A slot has a fixed sparse random index vector, and a context vector,
-the sum of the index vectors of its neighbours in the texts it is fitted on. A text's vector is the mean of both over
-its tokens. A two-layer numpy network with a temperature fitted on a part of the rows set apart makes it a probability.
+the sum of the index vectors of its neighbours in all texts. A text's vector is the mean of both over its tokens. A
+two-layer numpy network with a temperature fitted on a part of the rows set apart makes it a probability.
 
-Only the fit is bounded: it takes ``FIT_ROWS`` labelled rows, the first by a hash of doc_id. Scores cover all rows.
+Only the fit of the network is bounded: it takes ``FIT_ROWS`` labelled rows, the first by a hash of doc_id. Context
+vectors and scores cover all rows.
 """
 
 from __future__ import annotations
@@ -18,13 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.llm.hashing import CHUNK_BYTES, BYTE_BASE, _ranges, mix
+from tidewheel.llm.hashing import BYTE_BASE, _ranges, mix
 from tidewheel.llm.tables import stored
 
 FIT_ROWS = 20_000
 SLOTS, DIM, SEEDS, REACH = 4096, 64, 4, 2
 HIDDEN, EPOCHS, RATE, SEED = 32, 60, 0.01, 7
 THRESHOLD = 0.3
+#: Bytes of text taken at once (a longer text is taken alone), rows pooled at once, rows of a batch taken at once.
+CHUNK_BYTES, BLOCK, ROWS = 256 << 10, 128, 512
 #: Slots of marks that no word is hashed to: a word that is the one before, a word in capitals only.
 AGAIN, CAPITALS, MARKS = 0, 1, 2
 
@@ -78,8 +81,8 @@ def _pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """The mean of the vectors of each text's tokens and marks, zero for a text without any."""
     out = np.zeros((len(texts), vectors.shape[1]), np.float32)
     for first, rows, row, slot, marks in _tokens(texts):
-        for a in range(0, rows, 1024):
-            b = min(rows, a + 1024)
+        for a in range(0, rows, BLOCK):
+            b = min(rows, a + BLOCK)
             i, j = np.searchsorted(row, (a, b))
             here = marks[(marks >= a * SLOTS) & (marks < b * SLOTS)]
             cells = np.concatenate((row[i:j] * SLOTS + slot[i:j], here)) - a * SLOTS
@@ -90,7 +93,7 @@ def _pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sum of neighbours' index vectors for each slot, over the task's texts."""
+    """(slot, v0, v1, ...): the sum of neighbours' index vectors for each slot over the task's texts. Whole numbers."""
     index, total = index_vectors(), np.zeros((SLOTS, DIM), np.float64)
     for batch in batches:
         for _, _, row, slot, _ in _tokens(batch.column("text")):
@@ -109,7 +112,19 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     i, j = cuts[c], cuts[c + 512] if c + 512 < len(cuts) else len(cells)
                     part = index[cells[i:j] % SLOTS] * n[i:j, None]
                     total[own[cuts[c : c + 512]]] += np.add.reduceat(part, cuts[c : c + 512] - i, axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
+    some = np.flatnonzero(total.any(1))
+    columns = [pa.array(some, pa.int32()), *[pa.array(total[some, i]) for i in range(DIM)]]
+    yield pa.RecordBatch.from_arrays(columns, ["slot", *[f"v{i}" for i in range(DIM)]])
+
+
+def context_vectors(documents: DataFrame) -> np.ndarray:
+    """The context vector of each slot over all texts, of unit length or zero. A row for each slot comes to the driver."""
+    kinds = "slot int, " + ", ".join(f"v{i} double" for i in range(DIM))
+    sums = documents.select("text").mapInArrow(_contexts, kinds).groupBy("slot").agg(*[F.sum(f"v{i}").alias(f"v{i}") for i in range(DIM)])
+    out = np.zeros((SLOTS, DIM))
+    for r in sums.collect():
+        out[r.slot] = r[1:]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
 @dataclass
@@ -171,16 +186,16 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model
     known = labels.where(F.col("quality").isin(0, 1) & trained_on(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # 16 bytes a row
     sample = stored(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "fit")
-    totals = sample.select("text").mapInArrow(_contexts, "total binary").collect()  # 2 MB for each task over at most ``rows`` texts
-    context = sum((np.frombuffer(r.total, np.float64).reshape(SLOTS, DIM) for r in totals), np.zeros((SLOTS, DIM)))
-    context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-9)
+    context = context_vectors(documents)
     vectors = np.hstack((index_vectors(), context)).astype(np.float32)
     shared = spark.sparkContext.broadcast(vectors)
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = [r.tobytes() for r in _pooled(batch.column("text"), shared.value)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(x, pa.binary())], ["doc_id", "quality", "x"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                x = [r.tobytes() for r in _pooled(batch.column("text"), shared.value)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(x, pa.binary())], ["doc_id", "quality", "x"])
 
     known_rows = sample.mapInArrow(pooled, T.StructType([sample.schema["doc_id"], sample.schema["quality"], T.StructField("x", T.BinaryType())])).collect()
     known_rows.sort(key=lambda r: (r.doc_id, r.x))
@@ -202,12 +217,14 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model
 
 def _scored(model: Model | None, rejected_go: bool, names: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = np.ones(batch.num_rows) if model.value is None else model.value.scores(batch.column("text"))
-            if rejected_go:
-                yield batch.filter(pa.array(score >= THRESHOLD))
-            else:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                score = np.ones(batch.num_rows) if model.value is None else model.value.scores(batch.column("text"))
+                if rejected_go:
+                    yield batch.filter(pa.array(score >= THRESHOLD))
+                else:
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names)
 
     return run
 
