@@ -135,12 +135,33 @@ def test_vectors_recall_and_components(spark):
 
 def test_vectors_edges(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, None]), (8, []), (9, [1.0, 0.0, 0.0]), (None, [1.0, 0.0]), (1, [1.0, 0.0])]
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, None]), (8, []), (9, [1.0, 0.0, 0.0]), (10, [3.0, 0.0, 0.1]), (None, [1.0, 0.0]), (1, [1.0, 0.0])]
     got = sorted(((r.vec_id or -1, r.n_links, r.component_id) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()), key=str)
-    assert got == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), *((i, 0, i) for i in range(3, 10)), (-1, 0, None)], key=str)
+    assert got == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), *((i, 0, i) for i in range(3, 9)), (9, 1, 9), (10, 1, 9), (-1, 0, None)], key=str)
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_two_equal_vectors_beside_longer_ones(spark):
+    rows = [(i, [float(i), 1.0, -1.0]) for i in range(1, 6)] + [(20, [5.0, 1.0]), (21, [5.0, 1.0])]
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got[20] == got[21] == 1 and len(got) == 7
+
+
+def test_registered_recall_at_production_constants(spark):
+    """The query's links of vectors whose id is divisible by 20, against brute force over the whole table."""
+    from tidewheel.llm import catalog
+    from tidewheel.llm.tables import read
+
+    folder = "/root/testdata/sf0.01"
+    got = {r.vec_id: r.n_links for r in catalog.QUERIES["op7_embedding_near_dedup"](spark, folder).collect()}
+    table = read(spark, folder, "embeddings").where("embedding IS NOT NULL").orderBy("vec_id").collect()
+    x = np.array([r.embedding for r in table], np.float64)
+    n, _ = links_of(x)
+    asked = [i for i, r in enumerate(table) if r.vec_id % 20 == 0]
+    assert sum(got[table[i].vec_id] for i in asked) >= 0.9 * sum(n[i] for i in asked)
+    assert all(got[table[i].vec_id] <= n[i] for i in range(len(table)))
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(160)] + [(i, i + 1) for i in range(400, 440)] + [(500, i) for i in range(501, 560)]

@@ -58,3 +58,21 @@ def test_query_equals_sql(spark, name):
     columns = [d[0] for d in cursor.description]
     want = sorted(map(tuple, cursor.fetchall()))
     assert sorted(map(tuple, catalog.QUERIES[name](spark, FOLDER).select(columns).collect())) == want
+
+
+def test_near_copies_of_repeated_rows_and_rows_without_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(1, text), (1, text), (2, near), (None, near), (None, "alone here and there"), (7, None), (3, "x " + text), (1, "quite another text of the same id")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, __row string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id or 0, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, text), (0, "alone here and there"), (7, None), (1, "quite another text of the same id")], key=str)
+
+
+def test_links_of_repeated_rows_are_counted_once(spark):
+    words = [f"w{i}" for i in range(60)]
+    text, near = " ".join(words), " ".join([*words[:-1], "other"])
+    docs = spark.createDataFrame([(1, text), (1, text), (2, near)], "doc_id long, text string")
+    assert [r.n_links for r in jaccard.near_duplicates(docs).collect()] == [2, 2, 2]
