@@ -19,10 +19,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies, that with the smallest doc_id. Rows without a doc_id stay."""
-    found = jaccard.near_duplicates(docs)
-    gone = found.where("doc_id <> class_id").select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One row of each group of near copies, that with the smallest doc_id, and the first of these as rows were written.
+
+    Rows are told apart by a number of their own, so rows that repeat a doc_id are compared like others, and so are
+    rows without one, which come last within a group.
+    """
+    row = "__row" + "_" * max(map(len, docs.columns))  # a name no column has
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = jaccard.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
+    groups = found.where("n_links > 0").select(F.col("doc_id").alias("row"), "class_id")
+    ranked = groups.join(rows.select(F.col(row).alias("row"), "doc_id"), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first")
+    kept = ranked.groupBy("class_id").agg(first).select(F.col("first.row").alias("kept"))
+    gone = groups.join(kept, F.col("row") == F.col("kept"), "left_anti").select(F.col("row").alias("gone"))
+    return rows.join(gone, F.col(row) == F.col("gone"), "left_anti").drop(row)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
