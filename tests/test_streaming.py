@@ -260,13 +260,17 @@ def test_patient_windows_from_topic_to_topic(spark):
     folder = new_folder(spark, "topic")
     for part in (values[:3], values[3:]):
         topic_frame(spark, part).coalesce(1).write.mode("append").parquet(folder)
-    stream = lambda: jobs.patient_windows(stream_of(spark, folder, sources.TOPIC_ROW))
-    out = jobs.patient_window_messages(append_to_table(stream, spark)).collect()
-    assert sorted((r["key"], r["value"]) for r in out) == [
-        ("p1", "[" + event("p1", "a", "NORMAL") + "," + event("p1", "c", "X") + "]"),
-        ("p2", "[" + event("p2", "b", "NORMAL") + "," + event("p2", "e", "X") + "]"),
-        ("p2", "[" + event("p2", "f", "X") + "]"),
-    ]
+    messages = lambda: stream_of(spark, folder, sources.TOPIC_ROW)
+    rows = append_to_table(lambda: jobs.patient_windows(messages())[0], spark)
+    bad = append_to_table(lambda: jobs.patient_windows(messages())[1], spark)
+    by_batch, unread = jobs.patient_windows_to_table(messages, spark)
+    for told in (jobs.patient_window_messages(rows), jobs.patient_window_messages(by_batch, ["partition", "offset"])):
+        assert sorted((r["key"], r["value"]) for r in told.collect()) == [
+            ("p1", "[" + event("p1", "a", "NORMAL") + "," + event("p1", "c", "X") + "]"),
+            ("p2", "[" + event("p2", "b", "NORMAL") + "," + event("p2", "e", "X") + "]"),
+            ("p2", "[" + event("p2", "f", "X") + "]"),
+        ]
+    assert [tuple(r) for r in bad.collect()] == [tuple(r) for r in unread.collect()] == [(1, 99, "no json")]
 
 
 def test_topic_to_topic_is_one_to_one(spark):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -50,20 +50,34 @@ class RowContract:
             raise RowContractBroken(found)
         return rows
 
-    def watch(self, query: StreamingQuery) -> _Watch:
-        """Check each micro-batch of a started stream; the first breach stops it. Close the watch when done."""
-        return _Watch(self, query)
+    def watch(self, query: StreamingQuery, spark: SparkSession | None = None) -> RowWatch:
+        """Check each micro-batch of a started stream; the first breach stops it. A context manager."""
+        return RowWatch(self, query, spark or SparkSession.active())
 
 
-class _Watch(StreamingQueryListener):
-    def __init__(self, contract: RowContract, query: StreamingQuery):
-        self.contract, self.query = contract, query
+class RowWatch(StreamingQueryListener):
+    """Looks at the counts of each micro-batch, from the progress that Spark reports."""
+
+    def __init__(self, contract: RowContract, query: StreamingQuery, spark: SparkSession):
+        self.contract, self.query, self.spark = contract, query, spark
         self.seen: set[int] = set()
-        query.sparkSession.streams.addListener(self) if hasattr(query, "sparkSession") else None
 
-    def _look(self, progress) -> None:
-        found = progress["observedMetrics"] if isinstance(progress, dict) else progress.observedMetrics
-        number = progress["batchId"] if isinstance(progress, dict) else progress.batchId
+    def __enter__(self) -> RowWatch:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def to_end(self) -> None:
+        """Wait for the stream to end; raises if a micro-batch broke the contract, seen at once or by now."""
+        self.query.awaitTermination()
+        for progress in self.query.recentProgress:
+            self._look(progress.batchId, progress.observedMetrics)
+        if self.contract.breaches:
+            raise RowContractBroken(self.contract.breaches[0])
+
+    def _look(self, number: int, found: dict) -> None:
         names = [f"{self.contract.step} in", f"{self.contract.step} out"]
         if number in self.seen or not all(n in found for n in names):
             return
@@ -77,7 +91,7 @@ class _Watch(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         if event.progress.id == self.query.id:
-            self._look(event.progress)
+            self._look(event.progress.batchId, event.progress.observedMetrics)
             if self.contract.breaches:
                 self.query.stop()
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +22,12 @@ from tidewheel.operators import (
     gather_windows,
     interval_join,
     latest_by_key,
+    parse_flagged,
     parse_json,
     parse_locations,
     partition_by_key,
+    quoted_fields,
+    reduce_by_key,
     running_count,
     tumbling,
     tumbling_last,
@@ -38,6 +43,7 @@ from tidewheel.storage import new_folder
 from tidewheel.streaming import (
     append_and_close,
     append_to_table,
+    latest_by_key_stream,
     latest_to_table,
     running_count_stream,
     running_total_by_batch,
@@ -56,8 +62,11 @@ LIMITS = {"maxBytesPerTrigger": str(256 << 30)}
 STATEFUL_LIMITS = {"maxBytesPerTrigger": str(1 << 30)}
 PURCHASE = "event_type = 'purchase'"
 IN_ORDER = ["ts", "event_id"]
-# A split this small makes large keys of the small tables hot, to put the cut form to the test.
-SMALL_SPLIT = 500
+
+
+def _share(df: DataFrame) -> int:
+    """A twentieth of the rows: a key with more than that is cut, whatever the size of the table."""
+    return max(1, df.count() // 20)
 
 
 def query(oracle: str):
@@ -166,18 +175,50 @@ def running_count_per_record(spark, folder):
 
 @query(_RUNNING)
 def running_count_hot_keys(spark, folder):
-    """The same with every key cut into slices: five keys hold all rows."""
-    return running_count(_events_to_count(spark, folder), ["event_type"], IN_ORDER, split_rows=SMALL_SPLIT).drop("ts")
+    """The same with every key of more than a twentieth of the rows cut into slices: five keys hold all rows."""
+    events = _events_to_count(spark, folder)
+    return running_count(events, ["event_type"], IN_ORDER, split_rows=_share(events)).drop("ts")
 
 
-@query("""
+_LATEST_PER_KEY = """
     SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type,
         arg_max(value, (ts, event_id)) AS value, max(ts) AS ts
-    FROM events GROUP BY user_id""")
+    FROM events GROUP BY user_id"""
+
+
+@query(_LATEST_PER_KEY)
 def latest_per_key(spark, folder):
     return latest_by_key(read_table(spark, folder, "events"), ["user_id"], IN_ORDER, ["event_type", "value", "ts"])
 
 
+def _best_run(a: pa.RecordBatch, b: pa.RecordBatch) -> pa.RecordBatch:
+    """Merge of two stretches: total, best beginning, best end and best run of consecutive rows."""
+    x, y = ({n: r.column(n) for n in a.schema.names} for r in (a, b))
+    columns = {
+        "total": pc.add(x["total"], y["total"]),
+        "head": pc.max_element_wise(x["head"], pc.add(x["total"], y["head"])),
+        "tail": pc.max_element_wise(y["tail"], pc.add(y["total"], x["tail"])),
+        "best": pc.max_element_wise(x["best"], y["best"], pc.add(x["tail"], y["head"])),
+    }
+    return pa.RecordBatch.from_arrays([columns[n] for n in a.schema.names], names=a.schema.names)
+
+
+@query("""
+    WITH e AS (SELECT *, round(value * 100)::BIGINT - 5000 AS gain FROM events),
+    r AS (SELECT *, (sum(gain) OVER w)::BIGINT AS s FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+    b AS (SELECT *, least(0, coalesce(min(s) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS low FROM r)
+    SELECT event_type, arg_max(s, (ts, event_id)) AS total, max(s - low) AS best FROM b GROUP BY event_type""")
+def user_fold_best_run(spark, folder):
+    """A user's own fold: the run of consecutive events of a type with the largest sum of (value - 50), in hundredths.
+    Five keys hold all rows and are cut into slices."""
+    events = read_table(spark, folder, "events")
+    gain = (F.round(F.col("value") * 100).cast("long") - 5000).alias("gain")
+    rows = events.select("event_type", "ts", "event_id", gain)
+    rows = rows.select("event_type", "ts", "event_id", *[F.col("gain").alias(n) for n in ("total", "head", "tail", "best")])
+    folded = reduce_by_key(rows, ["event_type"], ["total", "head", "tail", "best"], _best_run, IN_ORDER, _share(rows))
+    return folded.select("event_type", "total", "best")
+
+
 @query("SELECT user_id, 1::BIGINT AS n_partitions, count(*) AS n FROM events GROUP BY user_id")
 def key_affinity(spark, folder):
     placed = partition_by_key(read_table(spark, folder, "events").select("user_id"), "user_id")
@@ -315,7 +356,7 @@ def conditional_window(spark, folder):
 def conditional_window_hot_keys(spark, folder):
     """Five keys hold all rows and every one is cut into slices; up to a value above 100."""
     events = read_table(spark, folder, "events").select("event_type", "event_id", "value", "ts")
-    rows = windows_until(events, ["event_type"], IN_ORDER, F.col("value") > 100, SMALL_SPLIT)
+    rows = windows_until(events, ["event_type"], IN_ORDER, F.col("value") > 100, _share(events))
     return gather_windows(rows, ["event_type"], IN_ORDER, ["event_id"]).select("event_type", "window_no", "n", _ids())
 
 
@@ -396,9 +437,25 @@ def json_quarantine(spark, folder):
     """Error events lose their last brace; they must all turn up in the quarantine."""
     cut = F.expr("if(event_type = 'error', substr(props, 1, length(props) - 1), props)").alias("text")
     events = read_table(spark, folder, "events").select("event_id", cut)
-    records, bad = parse_json(events, PROPS, "text")
-    read = flatten_valid(records, "event_id").withColumn("unread", F.lit(None).cast("string"))
-    return read.unionByName(bad.select("event_id", F.lit(None).cast("int").alias("k"), F.col("text").alias("unread")))
+    flagged = parse_flagged(events, PROPS, "text")
+    return flagged.select("event_id", "record.k", F.when(F.col("unread"), F.col("text")).alias("unread"))
+
+
+# Every fifth message is cut short, every seventh of the others has a latitude that is no number.
+@query("""
+    WITH m AS (SELECT event_id, user_id, value, (props->>'$.k')::DOUBLE AS k, event_id % 5 = 0 AS broken,
+        event_id % 5 <> 0 AND event_id % 7 = 0 AS odd FROM events)
+    SELECT event_id, CASE WHEN NOT broken AND NOT odd THEN 'Patient ' || user_id || ' at location (' || value || ', ' || k || ')' END AS line,
+        broken OR odd AS unread
+    FROM m""")
+def location_lines(spark, folder):
+    """Location messages as sentences; lines and quarantine together are all messages."""
+    k = F.get_json_object("props", "$.k").cast("double").alias("lon")
+    lat = F.when((F.col("event_id") % 5 != 0) & (F.col("event_id") % 7 == 0), "north").otherwise(F.col("value").cast("string"))
+    text = F.to_json(F.struct(F.col("user_id").cast("string").alias("patientId"), lat.alias("lat"), k))
+    cut = F.when(F.col("event_id") % 5 == 0, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    messages = read_table(spark, folder, "events").select("event_id", cut.alias("value"))
+    return jobs.location_lines_flagged(messages).select("event_id", "line", "unread")
 
 
 @query("""
@@ -437,6 +494,20 @@ def keyed_line_split(spark, folder):
     return sources.keyed_lines(_event_lines(spark, folder))
 
 
+@query("""
+    SELECT event_id, 0::INT AS position, user_id::VARCHAR AS field FROM events
+    UNION ALL SELECT event_id, 1, event_type || ':"' || value || '"' FROM events
+    UNION ALL SELECT event_id, 2, props FROM events
+    UNION ALL SELECT event_id, 3, '' FROM events""")
+def quoted_line_fields(spark, folder):
+    """Keyed lines whose second and third field hold separators and quotes within quotes."""
+    quote = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    second = quote(F.concat("event_type", F.lit(':"'), F.col("value").cast("string"), F.lit('"')))
+    line = F.concat_ws(":", F.col("user_id").cast("string"), second, quote(F.col("props")), F.lit(""))
+    lines = read_table(spark, folder, "events").select("event_id", line.alias("line"))
+    return quoted_fields(lines, "line", "event_id")
+
+
 @query("SELECT user_id::VARCHAR AS key, props AS value FROM events")
 def text_file_lines(spark, folder):
     """Lines written to text files and read back."""
@@ -532,10 +603,23 @@ def stream_running_count_hot_keys(spark, folder):
     def build():
         return _event_stream(spark, folder, "event_id", "event_type", "ts")
 
-    counted = running_total_by_batch(build, spark, ["event_type"], IN_ORDER, "cnt", split_rows=SMALL_SPLIT)
+    split_rows = _share(read_table(spark, folder, "events"))
+    counted = running_total_by_batch(build, spark, ["event_type"], IN_ORDER, "cnt", split_rows=split_rows)
     return counted.drop("ts")
 
 
+@query(_LATEST_PER_KEY)
+def stream_latest_per_key(spark, folder):
+    """A state for each key, which goes when the key has been quiet for a day."""
+
+    def build():
+        events = _event_stream(spark, folder, "user_id", "event_id", "event_type", "value", "ts", limits=STATEFUL_LIMITS)
+        timed = with_event_time(events, F.col("ts"), "1 minute")
+        return latest_by_key_stream(timed, ["user_id"], IN_ORDER, ["event_type", "value", "ts"], quiet_seconds=86_400)
+
+    return _unzoned(latest_to_table(build, spark, ["user_id"]), "ts")
+
+
 @query(_HOURLY_LAST)
 def stream_tumbling_window_append(spark, folder):
     def source():
@@ -712,7 +796,23 @@ def stream_topic_windows(spark, folder):
     """The whole topic-to-topic chain: parse, gather per patient until the condition, JSON lists."""
 
     def build():
-        messages = _topic_rows(stream_table(spark, folder, "events", **STATEFUL_LIMITS))
-        return jobs.patient_windows(messages, "purchase")
+        return _topic_rows(stream_table(spark, folder, "events", **LIMITS))
+
+    rows, _ = jobs.patient_windows_to_table(build, spark, "purchase")
+    return jobs.patient_window_messages(rows, ["partition", "offset"])
+
+
+# Every ninth message is cut short.
+@query("""
+    SELECT event_id AS "offset", '{"patientId":"' || user_id || '","position":"' || event_id || '","status":"' || event_type || '"' AS value
+    FROM events WHERE event_id % 9 = 4""")
+def stream_topic_unread(spark, folder):
+    """The messages of the same chain that could not be read, as they came."""
+
+    def build():
+        messages = _topic_rows(stream_table(spark, folder, "events", **LIMITS))
+        whole = F.col("value").cast("string")
+        cut = F.when(F.col("offset") % 9 == 4, F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
+        return messages.withColumn("value", cut.cast("binary"))
 
-    return jobs.patient_window_messages(append_to_table(build, spark))
+    return jobs.patient_windows_to_table(build, spark, "purchase")[1].select("offset", "value")

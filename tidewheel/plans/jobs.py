@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tidewheel import sinks, sources
@@ -19,7 +20,8 @@ from tidewheel.operators import (
     count_by,
     gather_windows,
     lines_starting_with,
-    parse_json,
+    locations_flagged,
+    parse_flagged,
     parse_locations,
     rebalance,
     running_count,
@@ -30,7 +32,8 @@ from tidewheel.operators import (
     upper_lines,
     with_event_time,
 )
-from tidewheel.streaming import running_total_by_batch, windows_until_stream
+from tidewheel.storage import new_folder
+from tidewheel.streaming import append_to_table, running_total_by_batch, start_running_total, windows_by_batch, windows_until_stream
 
 PERSON = T.StructType(
     [
@@ -92,6 +95,15 @@ def running_word_count_to_table(
     return running_total_by_batch(words, spark, ["word"], [*order, "position"], "cnt")
 
 
+def start_running_word_count(
+    lines: DataFrame, order: Sequence[str], folder: str, text: str = "value", plain: bool = False, every: str = "10 seconds"
+) -> StreamingQuery:
+    """The same over a stream without an end, started: read what has been counted so far with
+    ``streaming.running_total_rows``."""
+    words = (split_words if plain else tokenize)(lines, text, order, "position")
+    return start_running_total(words, ["word"], [*order, "position"], "cnt", folder, every=every)
+
+
 def socket_word_count(spark: SparkSession, host: str, port: int, plain: bool = False) -> DataFrame:
     """Either word count over a socket, to be started in update mode."""
     lines = sources.socket_lines(spark, host, port)
@@ -153,49 +165,88 @@ def watch_topic_to_topic(
     return sinks.stream_to_topic(topic_to_topic(messages), servers, target, checkpoint)
 
 
-def patient_windows(messages: DataFrame, trigger_status: str = "X") -> DataFrame:
-    """Rows of each patient's window, on a stream of topic rows (start under
-    ``streaming.stateful_settings``). A patient's messages are in one topic partition, so
-    ``partition, offset`` is the order they came in."""
+def patient_events(messages: DataFrame) -> DataFrame:
+    """Topic rows as patient events: ``partition, offset, patientId, position, status``, and ``unread``
+    with the message as it came (``value``) where it could not be read."""
     values = sources.topic_values(messages, with_position=True)
-    events, _ = parse_json(values, PATIENT_EVENT)
-    flat = events.select("partition", "offset", "record.*")
-    return windows_until_stream(
+    flagged = parse_flagged(values, PATIENT_EVENT)
+    return flagged.select("partition", "offset", "record.*", "unread", F.when(F.col("unread"), F.col("value")).alias("value"))
+
+
+def split_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events that could be read, quarantine: ``partition, offset, value``)."""
+    read = events.where(~F.col("unread")).drop("unread", "value")
+    return read, events.where("unread").select("partition", "offset", "value")
+
+
+def patient_windows(messages: DataFrame, trigger_status: str = "X") -> tuple[DataFrame, DataFrame]:
+    """(rows of each patient's window, messages that could not be read) on a stream of topic rows
+    (start under ``streaming.stateful_settings``). A patient's messages are in one topic partition,
+    so ``partition, offset`` is the order they came in. The two are streams of their own."""
+    flat, bad = split_events(patient_events(messages))
+    rows = windows_until_stream(
         flat, ["patientId"], ["partition", "offset"], F.col("status") == trigger_status, ["position", "status"]
     )
+    return rows, bad
+
 
+def patient_windows_to_table(
+    build: Callable[[], DataFrame], spark: SparkSession, trigger_status: str = "X", folder: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of each patient's window, messages that could not be read) of a stream of topic rows run to
+    its end, by micro-batch: hot patients are cut, and no state is kept in Python."""
+    folder = folder or new_folder(spark, "patients")
+    split = lambda: split_events(patient_events(build()))
+    condition = f"status = '{trigger_status}'"
+    rows = windows_by_batch(lambda: split()[0], spark, ["patientId"], ["partition", "offset"], condition, f"{folder}/windows")
+    return rows, append_to_table(lambda: split()[1], spark, f"{folder}/unread")
 
-def patient_window_messages(rows: DataFrame) -> DataFrame:
+
+def patient_window_messages(rows: DataFrame, order: Sequence[str] = ("place",)) -> DataFrame:
     """Window rows (of one micro-batch, or of a table) as one JSON list per window."""
-    windows = gather_windows(rows, ["patientId"], ["place"], ["patientId", "position", "status"])
+    windows = gather_windows(rows, ["patientId"], order, ["patientId", "position", "status"])
     value = records_to_json(F.col("events"))
     return sinks.topic_rows(windows.withColumn("value", value), "value", "patientId")
 
 
 def watch_patient_windows(
-    spark: SparkSession, servers: str, source: str, target: str, checkpoint: str, **settings
-) -> DataStreamWriter:
-    """The whole chain, topic to topic. All rows of a window are in one micro-batch, so the
-    list is made there, by a plain aggregate."""
-    rows = patient_windows(sources.watch_topic(spark, servers, source, **settings))
+    spark: SparkSession, servers: str, source: str, target: str, unread: str, checkpoint: str, **settings
+) -> tuple[DataStreamWriter, DataStreamWriter]:
+    """The whole chain, topic to topic, and the stream of messages that could not be read to the topic
+    ``unread``. All rows of a window are in one micro-batch, so the list is made there, by a plain
+    aggregate."""
+    rows, bad = patient_windows(sources.watch_topic(spark, servers, source, **settings))
 
     def write(batch: DataFrame, _: int) -> None:
         sinks.write_topic(patient_window_messages(batch), servers, target)
 
-    return sinks.each_batch(rows, write, checkpoint)
+    quarantine = sinks.stream_to_topic(sinks.topic_rows(bad, "value"), servers, unread, f"{checkpoint}/unread")
+    return sinks.each_batch(rows, write, f"{checkpoint}/windows"), quarantine
 
 
 # --- locations ---
 
 
-def location_lines(messages: DataFrame, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(a sentence per location message, messages that could not be read or lack a field)."""
-    locations, bad = parse_locations(messages.withColumn("__text", F.col("value")), fail_fast=fail_fast)
-    readable = F.col("patientId").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()
+def location_lines_flagged(messages: DataFrame, text: str = "value") -> DataFrame:
+    """``messages`` with ``line``, a sentence per location message, and ``unread``: whether the message
+    could not be read or lacks a field. One frame, one parse; every message is in it."""
+    found = locations_flagged(messages, text)
+    unread = F.col("unread") | F.col("patientId").isNull() | F.col("lat").isNull() | F.col("lon").isNull()
     sentence = location_sentence(F.col("patientId"), F.col("lat"), F.col("lon"))
-    rest = [F.col("__text").alias(c) if c == "value" else F.col(c) for c in messages.columns]
-    bad = bad.drop("__text").unionByName(locations.where(~readable).select(*rest))
-    return locations.where(readable).select(sentence.alias("value")), bad
+    return found.select(*messages.columns, F.when(~unread, sentence).alias("line"), unread.alias("unread"))
+
+
+def location_lines(messages: DataFrame, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(a sentence per location message, messages that could not be read or lack a field).
+
+    With ``fail_fast`` the job stops at a message that is no JSON object."""
+    if fail_fast:
+        parse, _ = parse_locations(messages, fail_fast=True)
+        readable = F.col("patientId").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()
+        sentence = location_sentence(F.col("patientId"), F.col("lat"), F.col("lon"))
+        return parse.where(readable).select(sentence.alias("value")), messages.where(F.lit(False))
+    flagged = location_lines_flagged(messages)
+    return flagged.where(~F.col("unread")).select(F.col("line").alias("value")), flagged.where("unread").select(*messages.columns)
 
 
 def average_location(locations: DataFrame, size: str = "5 minutes", time: str = "ts") -> DataFrame:

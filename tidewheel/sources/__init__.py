@@ -17,6 +17,7 @@ from tidewheel.sources.generated import (  # noqa: F401
     rows_of,
     sequence,
 )
+from tidewheel.sources.tables import TableSource, stream_row_groups  # noqa: F401
 from tidewheel.sources.topics import (  # noqa: F401
     TOPIC_ROW,
     read_topic,

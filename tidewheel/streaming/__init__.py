@@ -13,6 +13,7 @@ from tidewheel.streaming.batches import (  # noqa: F401
     windows_until_by_batch,
 )
 from tidewheel.streaming.counts import running_count_stream  # noqa: F401
+from tidewheel.streaming.latest import latest_by_key_stream  # noqa: F401
 from tidewheel.streaming.runner import (  # noqa: F401
     append_and_close,
     append_to_table,
