@@ -5,9 +5,10 @@ groups, of which near copies of a page before are left out, as they tell nothing
 aligned by simple tree matching: the largest set of nodes with equal tag and classes that keeps order and ancestry.
 Nodes aligned from page to page are a slot. Each page of a slot after the first votes: for "content" as often as the
 slot has further distinct texts, else for "template"; Spark adds up the votes by host and place in the tree. Places that are constant
-become the host's template, and extraction leaves them out, together with elements that say themselves what they
-are: navigation, forms, scripts, advertisements, comments and the like. An article tag counts only on hosts with too few
-pages to compare.
+become the host's template, and extraction leaves them out, together with elements whose tag or role says what they
+are: navigation, forms, scripts and the like. A class or id is a hint that an element is an advertisement, a list of
+comments or such, and counts only if the rest of the page bears it out (:func:`_hinted`): what holds most of a page's
+text is never dropped for a word in its class. An article tag counts only on hosts with too few pages to compare.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from tidewheel.llm.urls import host
 GROUP, OUTSIDE, INSIDE = 64, (2, 0.5), (8, 0.9)
 #: Share of a page's text besides what its whole group has, up to which it is a copy of the others.
 BARE = 0.1
-#: At most so many template places are broadcast (about 200 bytes each); more are joined by host.
+#: At most so many template places are broadcast (240 bytes each at most); more go to the parts of their hosts.
 BROADCAST_PLACES = 200_000
+#: Pages of a part of a host, and rows taken at once.
+PART, ROWS = 4096, 256
 #: Children to align beyond which (as a product) like ones are matched in order of appearance.
 DENSE = 1_000_000
 
@@ -44,7 +47,9 @@ BLOCK = frozenset(
 DROPPED = frozenset("head nav aside form footer button select datalist dialog menu object svg canvas audio video map".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSED_WITHIN = frozenset("ul ol dl table select article section div body".split())
-#: Words in a class or id that tell what an element is for.
+#: Values of role that say that an element is no content.
+ROLE_VALUES = frozenset("navigation banner search complementary contentinfo form dialog alertdialog alert menu menubar toolbar status".split())
+#: Words in a class or id that hint at what an element is for.
 ROLES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
     "sidebar footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe signup login search "
@@ -57,13 +62,39 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?])\s")
 _DIGITS, _NAMES = re.compile(r"\d+"), re.compile(r"[a-z]+")
+#: Characters of a place beyond which its beginning is a check sum, so places and trees stay small however deep a page is.
+LONG_PLACE = 240
+_HEADS = frozenset(("article", "main", "h1"))
 
 
 class Element:
-    __slots__ = ("article", "dropped", "place", "tag")
+    __slots__ = ("article", "dropped", "hint", "place", "tag")
 
-    def __init__(self, tag: str, place: str, dropped: bool, article: bool):
-        self.tag, self.place, self.dropped, self.article = tag, place, dropped, article
+    def __init__(self, tag: str, place: str, dropped: bool, article: bool, hint: int):
+        self.tag, self.place, self.dropped, self.article, self.hint = tag, place, dropped, article, hint
+
+
+class Hint:
+    """An element whose class or id hints that it is no content: ``sure`` if a whole name says so and not a part of one."""
+
+    __slots__ = ("around", "head", "size", "sure")
+
+    def __init__(self, around: int, sure: bool):
+        self.around, self.sure, self.size, self.head = around, sure, 0, False
+
+
+def _hinted(hints: list[Hint], total: int) -> list[bool]:
+    """Which of the hints hold, ``total`` being the characters of the page's text without what its tags drop.
+
+    A part of a name holds for an element without a heading or article that has less than half of the text; a whole
+    name also for one that has more, or has a heading, but not both. What is in an element that goes goes, too.
+    """
+    out: list[bool] = []
+    for hint in hints:  # an element comes after those around it
+        most = 2 * hint.size >= total
+        holds = not (most and hint.head) if hint.sure else not (most or hint.head)
+        out.append(holds or (hint.around >= 0 and out[hint.around]))
+    return out
 
 
 def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
@@ -71,8 +102,10 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
 
     ``place`` is the path of tags and classes. Character references are decoded, white space is one space.
     """
-    out: list[tuple[str, str, bool, bool]] = []
-    stack = [Element("", "", False, False)]
+    out: list[tuple[str, str, bool, bool, int]] = []
+    stack = [Element("", "", False, False, -1)]
+    opened: dict[str, int] = {}  # open elements by tag
+    hints: list[Hint] = []
     parts: list[str] = []
     at = 0
 
@@ -81,7 +114,12 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
         parts.clear()
         if text:
             top = next(e for e in reversed(stack) if e.tag in BLOCK or e.dropped or not e.tag)
-            out.append((text, top.place, top.article, stack[-1].dropped))
+            out.append((text, top.place, top.article, stack[-1].dropped, stack[-1].hint))
+
+    def close(depth: int) -> None:
+        for e in stack[depth:]:
+            opened[e.tag] -= 1
+        del stack[depth:]
 
     for found in _TOKEN.finditer(page):
         if found.start() > at:
@@ -96,39 +134,69 @@ def blocks(page: str) -> list[tuple[str, str, bool, bool]]:
             continue
         block = tag in BLOCK or tag in DROPPED
         if found.group(2):
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                if any(e.tag in BLOCK or e.dropped for e in stack[depth:]):
+            if opened.get(tag):
+                depth = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag)
+                if any(e.tag in BLOCK or e.dropped or e.hint >= 0 for e in stack[depth:]):
                     flush()
-                del stack[depth:]
+                close(depth)
             continue
         if block:
             flush()
-            if tag in BLOCK and (p := next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag in CLOSED_WITHIN), 0)) and stack[p].tag == "p":
-                del stack[p:]
+            if tag in BLOCK and opened.get("p") and (p := next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag in CLOSED_WITHIN), 0)) and stack[p].tag == "p":
+                close(p)
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in CLOSES.get(tag, ()):
-                    del stack[i:]
+                    close(i)
                 elif stack[i].tag in CLOSED_WITHIN:
                     break
         if tag in VOID:
             continue
         names, dropped, parent = "", tag in DROPPED, stack[-1]
+        hint = parent.hint
         if found.group(4):
+            said = sure = False
             for name, value in _ATTRIBUTE.findall(found.group(4)):
                 value = value.strip("\"'").lower()
-                if name.lower() == "class":
+                name = name.lower()
+                if name == "role":
+                    dropped = dropped or (tag not in ("html", "body", "article", "main") and value in ROLE_VALUES)
+                    continue
+                if name == "class":
                     names = "." + ".".join(sorted(_DIGITS.sub("9", value).split()))
-                dropped = dropped or (tag not in ("html", "body") and not ROLES.isdisjoint(_NAMES.findall(value)))
+                said = said or not ROLES.isdisjoint(_NAMES.findall(value))
+                sure = sure or not ROLES.isdisjoint(value.split())
+            if said and tag not in ("html", "body"):
+                if not block:
+                    flush()
+                hint = len(hints)
+                hints.append(Hint(parent.hint, sure))
+        if tag in _HEADS:
+            around = parent.hint
+            while around >= 0 and not hints[around].head:
+                hints[around].head = True
+                around = hints[around].around
+        if not block and not dropped and hint == parent.hint:
+            continue  # an element within a line, which says nothing
         main = tag in ("article", "main")
         dropped = dropped or (tag == "header" and not parent.article)
         # an article in a form or in navigation that was never closed is an article still
         inherited = parent.dropped and not (main and all(e.tag in ("form", "header", "nav") for e in stack if e.dropped and e.tag in DROPPED | {"header"}) and not any(e.dropped and e.tag not in DROPPED | {"header"} for e in stack))
-        stack.append(Element(tag, f"{parent.place}/{tag}{names}", dropped or inherited, parent.article or main))
+        place = f"{parent.place}/{tag}{names}"
+        if len(place) > LONG_PLACE:
+            place = f"/#{zlib.crc32(place.encode('utf-8', 'replace')):08x}{zlib.adler32(place.encode('utf-8', 'replace')):08x}"
+        opened[tag] = opened.get(tag, 0) + 1
+        stack.append(Element(tag, place, dropped or inherited, parent.article or main, hint))
     if at < len(page):
         parts.append(page[at:])
     flush()
-    return out
+    for text, _, _, dropped, hint in out:
+        if not dropped and hint >= 0:
+            hints[hint].size += len(text)
+    for hint in reversed(hints):
+        if hint.around >= 0:
+            hints[hint.around].size += hint.size
+    gone = _hinted(hints, sum(len(text) for text, _, _, dropped, _ in out if not dropped))
+    return [(text, place, article, dropped or (hint >= 0 and gone[hint])) for text, place, article, dropped, hint in out]
 
 
 Node = tuple  # (signature, place, check sum of texts, children)
@@ -307,15 +375,27 @@ def main_text(page: str | None, template: dict[str, bool], compared: bool = Fals
     return "\n".join(text for text, place, article in found if not (template.get(place, False) if article else place in template))
 
 
-def _extracted(names: list[str]) -> Callable:
+def _extracted(names: list[str], shared) -> Callable:
+    """The text of each page by its host's template: of ``shared``, or in front of the host's pages."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for page, places in zip(batch.column("__html").to_pylist(), batch.column("__places").to_pylist(), strict=True):
-                template = {p["place"]: p["inside"] for p in places or () if p["place"] is not None}
-                texts.append(main_text(page, template, places is not None))
-            columns = [batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*names, "text", "n_chars"])
+        own_host, own = None, None
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                texts, rows = [], []
+                for i, (page, host, place, inside) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("__html", "__host", "__place", "__inside")), strict=True)):
+                    if inside is not None:  # a place of the host whose pages follow
+                        if own_host != host:
+                            own_host, own = host, {}
+                        if place is not None:
+                            own[place] = inside
+                        continue
+                    template = shared.value.get(host) if shared is not None else own if own_host == host else None
+                    texts.append(main_text(page, template or {}, template is not None))
+                    rows.append(i)
+                columns = [batch.column(i).take(pa.array(rows, pa.int64())) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*names, "text", "n_chars"])
 
     return run
 
@@ -326,12 +406,25 @@ def extracted(pages: DataFrame) -> DataFrame:
     Null or empty html gives an empty text. A null URL or one without host belongs to no host: its page has no
     template. Rows may repeat and stay apart; columns named text and n_chars are replaced, others are carried.
     """
+    spark = pages.sparkSession
     places = stored(wrappers(pages), "wrappers")
-    by_host = places.groupBy(F.col("host").alias("__host")).agg(F.collect_list(F.struct("place", "inside")).alias("__places"))
-    if places.count() <= BROADCAST_PLACES:
-        by_host = F.broadcast(by_host)
     names = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
-    whole = pages.select(*names, F.col("html").alias("__html"), host(F.col("url")).alias("__host"))
-    joined = whole.join(by_host, "__host", "left").select(*names, "__html", "__places")
+    whole = pages.select(*names, F.col("html").alias("__html"), host(F.col("url")).alias("__host"), F.lit(None).cast("string").alias("__place"), F.lit(None).cast("boolean").alias("__inside"))
     schema = T.StructType([*[pages.schema[c] for c in names], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return joined.mapInArrow(_extracted(names), schema)
+    if places.count() <= BROADCAST_PLACES:
+        templates: dict[str, dict] = {}
+        for r in places.collect():
+            own = templates.setdefault(r.host, {})
+            if r.place is not None:
+                own[r.place] = r.inside
+        return whole.mapInArrow(_extracted(names, spark.sparkContext.broadcast(templates)), schema)
+    # the pages of a host are dealt to parts, and its places go to each part in front of them
+    sizes = pages.select(host(F.col("url")).alias("__host")).groupBy("__host").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("__parts"))
+    parts = places.join(sizes, places["host"] == sizes["__host"]).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    front = parts.select(F.col("__host"), F.col("place").alias("__place"), F.coalesce("inside", F.lit(False)).alias("__inside"), "__part")
+    dealt = whole.withColumn("__turn", F.xxhash64("__html", *names))
+    large = sizes.where(F.col("__parts") > 1)  # few: a host has one for each so many pages
+    dealt = dealt.join(F.broadcast(large), "__host", "left").withColumn("__part", F.pmod("__turn", F.coalesce("__parts", F.lit(1))).cast("int"))
+    rows = dealt.select(*whole.columns, "__part").unionByName(front, allowMissingColumns=True)
+    placed = rows.repartition("__host", "__part").sortWithinPartitions("__host", "__part", F.col("__inside").isNull())
+    return placed.drop("__part").mapInArrow(_extracted(names, None), schema)
