@@ -3,7 +3,8 @@
 A window of L words lies in a text only if a block of it does: of the blocks of ceil(L/2) words at every
 (L - ceil(L/2) + 1)-th word of the text, exactly one starts in the window's first words and lies within it. So a
 text gives one block for six words (L = 10), looked up by hash in the blocks of all windows; a hit is verified
-word by word in place. The windows are broadcast if their number is within ``BROADCAST_WINDOWS``, else joined by shuffle.
+word by word in place. The windows are broadcast if their number is within ``BROADCAST_WINDOWS``; else blocks go to them
+by hash without the text, and what is found goes back to its text.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 WINDOW = 10
 #: At most so many windows are broadcast: each stands in six rows of about 300 bytes.
 BROADCAST_WINDOWS = 100_000
+#: Parts that texts with the same block are dealt to where windows are joined by shuffle.
+SALTS = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same words before A-Z are lowered.
@@ -58,8 +61,6 @@ def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     found = windows.groupBy(F.size("window").alias("length")).agg(F.count(F.lit(1)).alias("n")).collect()
     lengths = sorted(r.length for r in found)  # 1 to ``window``: a fixed few
     table = _blocks(windows)
-    if sum(r.n for r in found) <= BROADCAST_WINDOWS:
-        table = F.broadcast(table)
 
     def blocks_of(length: int) -> Column:
         block = -(-length // 2)
@@ -71,6 +72,9 @@ def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     own_row = F.array(F.struct(F.lit(0).alias("at"), F.lit(None).cast("long").alias("block")))
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
     texts = texts.select("doc_id", "text_hash", "w", F.size("w").alias("n_words"))
+    if sum(r.n for r in found) > BROADCAST_WINDOWS:
+        return _hits_by_shuffle(texts, table, F.concat(*[blocks_of(n) for n in lengths]))
+    table = F.broadcast(table)
     texts = texts.select("*", F.explode(F.concat(own_row, *[blocks_of(n) for n in lengths])).alias("b"))
     texts = texts.select("doc_id", "text_hash", "w", "n_words", "b.at", "b.block")
     start = F.col("at") - F.col("offset")
@@ -89,6 +93,26 @@ def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     )
 
 
+def _hits_by_shuffle(texts: DataFrame, table: DataFrame, blocks: Column) -> DataFrame:
+    """:func:`hits` for windows that are too many to broadcast: a row of 40 bytes goes for each block, a text goes once."""
+    known = texts.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"), F.max("n_words").cast("long").alias("n_words"), F.first("w").alias("w"))
+    # texts with the same block are dealt over salts, to each of which its windows go
+    salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int")
+    asked = known.select("doc_id", "text_hash", "n_words", "w").select("doc_id", "text_hash", salt.alias("salt"), F.explode(blocks).alias("b"))
+    asked = asked.select("doc_id", "text_hash", "salt", "b.at", "b.block")
+    table = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    start = (F.col("at") - F.col("offset")).alias("start")
+    found = asked.join(table, ["block", "salt"]).select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"), start, "found_length", "window", "item_ids").where("start >= 1")
+    own = F.col("of").eqNullSafe(F.col("doc_id")) & F.col("of_hash").eqNullSafe(F.col("text_hash"))
+    same = F.slice("w", F.col("start"), F.col("found_length")) == F.col("window")
+    true = found.join(known.select("doc_id", "text_hash", "w"), own).where(same)
+    span = F.struct("start", F.col("found_length").alias("length"))
+    hit = true.groupBy("of", "of_hash").agg(F.collect_set(span).alias("spans"), F.array_distinct(F.flatten(F.collect_set("item_ids"))).alias("item_ids"))
+    kinds = dict(hit.dtypes)
+    some = [F.coalesce(c, F.array().cast(kinds[c])).alias(c) for c in ("spans", "item_ids")]
+    return known.drop("w").join(hit, own, "left").select("doc_id", "text_hash", "copies", "n_words", *some)
+
+
 def _hit_words(spans: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1))))
 
