@@ -32,6 +32,49 @@ def test_main_text(html, text):
     assert pages.main_text(html, {}) == text
 
 
+@pytest.mark.parametrize(
+    "tag", ['div class="content no-sidebar"', 'article class="post has-sidebar"', 'div class="article-with-comments"', 'main id="search-article"', 'div class="alert-story"', 'section class="widget"']
+)
+def test_a_word_in_a_class_does_not_drop_the_article(tag):
+    name = tag.split()[0]
+    text = "The story itself, which is longer than all around it."
+    inner = f"<h1>Title</h1><p>{text}</p><div class='comments'><p>First!</p></div><p class=share-this>Share</p>"
+    assert pages.main_text(page(f"<div class=ad>buy</div><{tag}>{inner}</{name}><div class='related-links'>more</div>"), {}) == f"Title\n{text}"
+
+
+def test_a_page_that_is_only_an_advert_is_empty():
+    assert pages.main_text(page("<div class=ad><p>Buy now</p></div>"), {}) == ""
+    assert pages.main_text(page("<p>in a <b class=x>line</b> <span class=ad>buy</span> on</p><div role=banner>b</div>"), {}) == "in a line\non"
+
+
+@pytest.mark.parametrize("tag", ["div", "font", "b", "section class=x1"])
+def test_deep_pages(spark, tag):
+    deep = page(f"<{tag}>" * 5000 + "<div>deep text</div>" + f"</{tag.split()[0]}>" * 20)
+    rows = [(i, f"http://h.org/{i}", deep.replace("deep", f"deep {i}")) for i in range(3)] + [(9, "http://h.org/9", page("<p>plain</p>"))]
+    got = {r.page_id: r.text for r in pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: "deep 0 text", 1: "deep 1 text", 2: "deep 2 text", 9: "plain"}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_the_template_alone_removes_what_no_tag_tells(spark, monkeypatch, broadcast):
+    """A menu in a table and a footer in a list: with the template they go, without it they stay, whichever way it comes."""
+    if not broadcast:
+        monkeypatch.setattr(pages, "BROADCAST_PLACES", 0)
+        monkeypatch.setattr(pages, "PART", 7)
+
+    def html(i):
+        own = " ".join(f"own{i}word{k}" for k in range(30))
+        return page(f"<table><tr><td>Home<td>About us</table><div><p>{own}</p></div><ul><li>Imprint and contact</ul>"), own
+
+    rows = [(i, f"http://{'a' if i % 3 else 'b'}.org/{i}", html(i)[0], "x") for i in range(40)] + [(99, None, html(99)[0], "y")]
+    out = pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string, host string"))
+    assert out.columns == ["page_id", "url", "host", "text", "n_chars"]
+    got = {r.page_id: r.text for r in out.collect()}
+    assert all(got[i] == html(i)[1] for i in range(40))
+    assert got[99] == f"Home\nAbout us\n{html(99)[1]}\nImprint and contact"
+    assert pages.main_text(html(1)[0], {}) == f"Home\nAbout us\n{html(1)[1]}\nImprint and contact"
+
+
 def test_simple_tree_matching_against_all_matchings():
     def size(node):
         return 1 + sum(map(size, node[3]))
@@ -193,18 +236,65 @@ def test_listed_rules(spark):
     ]
     df = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, verdict string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    got = sorted(tuple(r) for r in urls.judged(df, labels, RULES).collect())
+    got = sorted((tuple(r) for r in urls.judged(df, labels, RULES).collect()), key=str)
     assert got == sorted(
         [
             (1, "m.example.org", "/es/7", "example.org/es/", "block"), (1, "m.example.org", "/es/7", "example.org/es/", "block"), (2, "example.org", "/en/1", "example.org/en/1", "block"),
             (3, "example.org", "", None, "allow"), (4, "notexample.org", "/es/", "org/", "allow"), (5, "a.com", "/de/", "com/de/", "block"), (6, "", "", None, "allow"),
             (7, "", "", None, "allow"), (8, "a.com", "", None, "allow"), (9, "b.com", "/fr/", "com/fr/", "allow"),
         ],
-        key=lambda r: tuple((x is None, x or "") if isinstance(x, str) or x is None else (False, x) for x in r),
-    ) or {tuple(r) for r in got} == {tuple(r) for r in got}
-    by_id = {r[0]: r for r in got}
-    assert by_id[1][3:] == ("example.org/es/", "block") and by_id[4][3:] == ("org/", "allow") and by_id[3][1:] == ("example.org", "", None, "allow")
-    assert by_id[8][1:] == ("a.com", "", None, "allow") and by_id[9][1:4] == ("b.com", "/fr/", "com/fr/") and len(got) == 10
+        key=str,
+    )
+
+
+def plain_rules(labelled, min_support, min_confidence):
+    """All sets of tokens that say "block" often and surely enough."""
+    from itertools import combinations
+
+    sets = [(set(t), b) for t, b in labelled]
+    every = sorted({x for t, _ in sets for x in t})
+    out = []
+    for size in range(1, 6):
+        for some in combinations(every, size):
+            have = [b for t, b in sets if set(some) <= t]
+            if have and sum(have) / len(sets) >= min_support and sum(have) / len(have) >= min_confidence:
+                out.append(set(some))
+    return out
+
+
+def test_mined_verdicts_are_those_of_all_rules(spark):
+    rng = random.Random(6)
+
+    def url(i):
+        host = ".".join(rng.choice([["a", "b", "x", "net"], ["b", "x", "net"], ["c", "net"], ["d", "x", "com"]]))
+        return f"http://{host}/" + "/".join(rng.sample(["p", "q", "r"], rng.randint(0, 2))) + rng.choice(["", "?k=1"])
+
+    rows = [(i, url(i)) for i in range(300)]
+    labels = [(i, int(rng.random() < (0.9 if "/q" in u and "net" in u else 0.1) or "d.x" in u and "k=" in u) ^ 1, 0) for i, u in rows if i < 200]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = urls.judged(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), [], 0.05, 0.7)
+    own = df.select("page_id", urls.tokens(df["url"], urls.host(df["url"]), urls.path(df["url"])).alias("t")).collect()
+    own = {r.page_id: r.t for r in own}
+    rules = plain_rules([(own[i], q == 0) for i, q, _ in labels], 0.05, 0.7)
+    want = {i: "block" if any(r <= set(t) for r in rules) else "allow" for i, t in own.items()}
+    assert {r.page_id: r.verdict for r in got.collect()} == want
+    assert {"block", "allow"} == set(want.values())
+
+
+def test_a_host_of_many_labels_gives_few_rules(spark):
+    from pyspark.sql import functions as F
+
+    host = ".".join(f"l{i}" for i in range(18))
+    rows = [(i, f"http://{host}/page/{i}") for i in range(200)] + [(1000 + i, f"http://{host.split('.', i)[-1]}/page/{i}") for i in range(1, 17)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    tokens = urls.tokens(df["url"], urls.host(df["url"]), urls.path(df["url"]))
+    labelled = df.select(tokens.alias("tokens"), F.lit(True).alias("block"), F.col("page_id").alias("row"))
+    items = urls.items_of_tokens(labelled)
+    assert urls.mined_rules(labelled, items).count() <= 18
+    labels = spark.createDataFrame([(i, 0, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    assert {r.verdict for r in urls.judged(df, labels, []).collect()} == {"block"}
+    empty = spark.createDataFrame([], "page_id long, url string, host string")
+    assert urls.judged(empty, labels, []).count() == 0
 
 
 def test_mined_rules_block(spark):

@@ -218,3 +218,26 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
   (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
 FROM coded
 """
+
+ORACLES["op4_jaccard_join"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) END AS s
+  FROM docs WHERE len(w) > 0
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) = any_value(a.n) AND count(*) = any_value(b.n) AS same
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 10 * count(*) >= 8 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM docs UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+)
+SELECT doc_id, least(doc_id, (SELECT min(y) FROM links WHERE x = doc_id AND same)) AS copy_id,
+  (SELECT count(*) FROM links WHERE x = doc_id) AS n_links, (SELECT min(y) FROM reached WHERE x = doc_id) AS class_id
+FROM docs
+"""
