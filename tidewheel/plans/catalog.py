@@ -388,7 +388,7 @@ def conditional_window_timeout(spark, folder):
 _SIGNUP_ERRORS = """
     SELECT s.user_id, s.event_id AS signup_id, e.event_id AS error_id
     FROM events s JOIN events e ON s.user_id = e.user_id
-        AND e.ts BETWEEN s.ts AND s.ts + INTERVAL '10 minutes'
+        AND e.ts BETWEEN s.ts AND s.ts + INTERVAL '6 hours'
     WHERE s.event_type = 'signup' AND e.event_type = 'error'"""
 
 
@@ -400,8 +400,8 @@ def _sides(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @query(_SIGNUP_ERRORS)
 def interval_join_signup_errors(spark, folder):
-    """Errors that a user meets within ten minutes of a signup."""
-    pairs = interval_join(*_sides(read_table(spark, folder, "events")), ["user_id"], "signed_up", "failed", "0 minutes", "10 minutes")
+    """Errors that a user meets within six hours of a signup."""
+    pairs = interval_join(*_sides(read_table(spark, folder, "events")), ["user_id"], "signed_up", "failed", "0 hours", "6 hours")
     return pairs.select("user_id", "signup_id", "error_id")
 
 
@@ -688,7 +688,7 @@ def stream_interval_join(spark, folder):
         sides = [_event_stream(spark, folder, "user_id", "event_id", "event_type", "ts") for _ in range(2)]
         signups, errors = _sides(sides[0])[0], _sides(sides[1])[1]
         timed = signups.withWatermark("signed_up", "1 minute"), errors.withWatermark("failed", "1 minute")
-        return interval_join(*timed, ["user_id"], "signed_up", "failed", "0 minutes", "10 minutes")
+        return interval_join(*timed, ["user_id"], "signed_up", "failed", "0 hours", "6 hours")
 
     return append_to_table(build, spark).select("user_id", "signup_id", "error_id")
 
