@@ -58,7 +58,8 @@ def sharded(records: DataFrame, weight: str, shards: int = SHARDS, seed: int = S
     sizes = dealt.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select("__bucket", (F.sum("n").over(Window.orderBy("__bucket")) - F.col("n")).alias("__before"))  # a row for each bucket
     placed = dealt.join(F.broadcast(before), "__bucket") if buckets <= 100_000 else dealt.join(before, "__bucket")
-    placed = placed.repartition(min(buckets, MAX_TASKS), "__bucket").sortWithinPartitions("__bucket", "__place")
+    tasks = min(buckets, MAX_TASKS)
+    placed = placed.repartitionById(tasks, F.col("__bucket") % tasks).sortWithinPartitions("__bucket", "__place")
     schema = T.StructType([*[records.schema[c] for c in names], T.StructField("__number", T.LongType())])
     numbered = placed.mapInArrow(_shuffled(seed, names), schema)
     return numbered.select(*names, (F.col("__number") % shards).cast("int").alias("shard"), F.floor(F.col("__number") / shards).cast("long").alias("slot"))
