@@ -49,7 +49,8 @@ def unpack(
     """Typed ``keys`` (those not among the fields), then ``labels``, then ``fields``."""
 
     def read(column: str, names: Sequence[str]) -> Column:
-        return F.from_json(column, T.StructType([source.schema[n] for n in names]), _JSON).alias(column)
+        # what does not come back as it went is an error, not a null
+        return F.from_json(column, T.StructType([source.schema[n] for n in names]), {**_JSON, "mode": "FAILFAST"}).alias(column)
 
     parsed = packed.select(read(KEY, keys), *labels, read(BODY, fields))
     alone = [F.col(f"{KEY}.`{k}`").alias(k) for k in keys if k not in fields]
