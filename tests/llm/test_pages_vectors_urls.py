@@ -4,8 +4,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidewheel.llm import components, jaccard, pages, urls, vectors
+from tidewheel.llm import components, jaccard, pages, tables, urls, vectors
 
 
 def page(body, head="<title>t</title>"):
@@ -217,6 +218,39 @@ def test_components(spark):
     assert got == {v: root[v] for e in edges if e[0] != e[1] for v in e}
 
 
+def test_hubs_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(components, "HUB", 3)
+    edges = [(50, i) for i in range(400)] + [(1000, i) for i in range(400, 700)] + [(700, 3), (900, 901)]
+    got = {r.node: r.root for r in components.smallest_reachable(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys([*range(400), 700], 0), **dict.fromkeys([*range(400, 700), 1000], 400), 900: 900, 901: 900}
+
+
+def test_rows_with_facts_of_heavy_and_other_keys(spark):
+    rows = spark.createDataFrame([(7, i) for i in range(500)] + [(8, i) for i in range(3)] + [(9, 0), (None, 1)], "k long, v long")
+    facts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k < 9")
+    got = tables.with_fact(rows.repartition(4), facts, "k", "n", F.col("n") > 100, "v")
+    assert sorted(got.collect()) == [(7, i, 500) for i in range(500)] + [(8, i, 3) for i in range(3)]
+    assert got.columns == ["k", "v", "n"]
+    # the rows of the heavy key reach the second join in more than one task
+    tasks = got.withColumn("task", F.spark_partition_id()).where("k = 7").select("task").distinct()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert tasks.count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ranks_of_cells_are_those_of_the_visits():
+    rng = np.random.default_rng(5)
+    x = vectors.unit(rng.normal(size=(300, 8)))
+    index = vectors.Index(x[:9, :4].copy(), x[9:20, 4:].copy())
+    cells, _ = index.visited(x, 99)
+    to = rng.integers(0, 99, len(x))
+    assert (index.rank(x, to) == (cells == to[:, None]).argmax(1) + 1).all()
+
+
 def test_common_counts(monkeypatch):
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 90, rng.integers(1, 60)).astype(np.uint32)) for _ in range(12)]

@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.tables import stored
+from tidewheel.llm import tables
+from tidewheel.llm.tables import stored, with_fact
 
+#: A node of fewer neighbours is no hub.
+HUB = 1000
 
-def _round(edges: DataFrame) -> DataFrame:
-    """Each node's larger neighbours go to its smallest one, then its smaller ones do (large star, small star)."""
+
+def _round(edges: DataFrame, count: int) -> DataFrame:
+    """Each node's larger neighbours go to its smallest one, then its smaller ones do (large star, small star).
+
+    ``count`` is the number of edges. The smallest neighbours of hubs, of which there are 2 * ``HEAVY`` at most, are
+    broadcast, so a hub's edges stay dealt over tasks.
+    """
+    hub = F.col("degree") > max(HUB, count // tables.HEAVY)
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-    large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count(F.lit(1)).alias("degree"))
+    large = with_fact(both.where("b > a"), least, "a", "m", hub, "b").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     # all edges now go from the larger node (a) to the smaller one (b)
-    low = large.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.join(low, "a")
+    low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree"))
+    small = with_fact(large, low, "a", "m", hub, "b")
     return (
         small.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).distinct()
     )
@@ -36,7 +45,7 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
     edges = stored(edges, "edges")
     before = _print(edges)
     while before[0]:
-        edges = stored(_round(edges), "edges")
+        edges = stored(_round(edges, before[0]), "edges")
         now = _print(edges)
         if now == before:
             break

@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewheel.llm import tables
 from tidewheel.llm.components import smallest_reachable
 from tidewheel.llm.hashing import Chunk, chunks, mix
-from tidewheel.llm.tables import stored
+from tidewheel.llm.tables import stored, with_fact
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.9999
 #: Steps after which buckets are looked at; a bucket larger than BUCKET sets goes on to the next.
@@ -213,15 +214,20 @@ def _linked(similarity: float) -> Callable:
     return run
 
 
-def _buckets(paths: DataFrame, runs: int, depths: tuple[int, ...], bucket: int) -> DataFrame:
-    """(node, name, size, weight, run, leaf, held): the bucket each set ended in, by run, if another set is in it too."""
+def _buckets(paths: DataFrame, runs: int, depths: tuple[int, ...], bucket: int, rows: int) -> DataFrame:
+    """(node, name, size, weight, run, leaf, held): the bucket each set ended in, by run, if another set is in it too.
+
+    ``rows`` is at least the number of sets; how much the buckets of more than ``runs * rows / HEAVY`` sets hold is
+    broadcast, so their rows stay dealt over tasks.
+    """
+    heavy = F.col("held") > max(bucket, runs * rows // tables.HEAVY)
     flat = paths.select("node", "name", "size", "weight", F.posexplode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run", "_"), "keys")
     keys = [F.element_at("keys", F.col("run") * len(depths) + i + 1).alias(f"k{i}") for i in range(len(depths))]
     alive = flat.select("node", "name", "size", "weight", "run", *keys)
     leaves = None
     for i in range(len(depths)):
         count = alive.groupBy(f"k{i}").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-        found = alive.join(count, f"k{i}")
+        found = with_fact(alive, count, f"k{i}", "held", heavy, "node", "name")
         last = i == len(depths) - 1
         if not last:
             found = stored(found, "buckets")
@@ -249,7 +255,7 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, shingl
     classes = described.groupBy("name", "other").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("weight"))
     firsts = described.withColumnRenamed("doc_id", "node").dropDuplicates(["node", "name", "other"])
     paths = firsts.join(classes, ["name", "other", "node"])
-    leaves = stored(_buckets(paths, runs, DEPTHS, bucket), "leaves")
+    leaves = stored(_buckets(paths, runs, DEPTHS, bucket, described.count()), "leaves")
 
     # what a set ended in, run by run, goes with it into each bucket
     ends = F.map_from_entries(F.collect_list(F.struct("run", "leaf")))
