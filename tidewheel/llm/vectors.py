@@ -59,6 +59,12 @@ class Index:
         cells = np.take_along_axis(order_a, i[best], 1) * len(self.second) + np.take_along_axis(order_b, j[best], 1)
         return cells, np.take_along_axis(sums, best[:, -1:], 1)[:, 0]
 
+    def rank(self, x: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Which in the order of visits each vector's cell is, from 1. Cells are counted, not listed."""
+        a, b = self.distances(x)
+        to = a[np.arange(len(x)), cells // len(self.second)] + b[np.arange(len(x)), cells % len(self.second)]
+        return np.array([np.searchsorted(np.sort(b[i]), t - a[i]).sum() + 1 for i, t in enumerate(to * (1 - 1e-12))])
+
 
 def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1), 0)
@@ -93,9 +99,8 @@ def fitted(sample: np.ndarray, rows: int, threshold: float = THRESHOLD, recall:
     away = unit(away - (away * x).sum(1, keepdims=True) * x) if x.shape[1] > 1 else np.zeros_like(x)
     y = unit(threshold * x + math.sqrt(1 - threshold * threshold) * away)
     rank = np.full(len(x), k * k)
-    for a, b in ((x, y), (y, x)):
-        cells, _ = index.visited(a, k * k)
-        rank = np.minimum(rank, (cells == index.homes(b)[:, None]).argmax(1) + 1)
+    for here, there in ((x, y), (y, x)):
+        rank = np.minimum(rank, index.rank(here, index.homes(there)))
     index.visits = int(np.quantile(rank, recall, method="higher"))
     return index
 
