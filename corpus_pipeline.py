@@ -27,7 +27,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     row = "__row" + "_" * max(map(len, docs.columns))  # a name no column has
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     found = jaccard.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
-    groups = found.where("n_links > 0").select(F.col("doc_id").alias("row"), "class_id")
+    # written: three tables are made from it, and the plan behind it is long
+    groups = stored(found.where("n_links > 0").select(F.col("doc_id").alias("row"), "class_id"), "groups")
     ranked = groups.join(rows.select(F.col(row).alias("row"), "doc_id"), "row")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first")
     kept = ranked.groupBy("class_id").agg(first).select(F.col("first.row").alias("kept"))

@@ -76,3 +76,13 @@ def test_links_of_repeated_rows_are_counted_once(spark):
     text, near = " ".join(words), " ".join([*words[:-1], "other"])
     docs = spark.createDataFrame([(1, text), (1, text), (2, near)], "doc_id long, text string")
     assert [r.n_links for r in jaccard.near_duplicates(docs).collect()] == [2, 2, 2]
+
+
+def _plan_nodes(df, name):
+    return df._jdf.queryExecution().executedPlan().toString().count(name)
+
+
+def test_plans_that_the_driver_holds_stay_small(spark):
+    docs = read(spark, FOLDER, "documents")
+    assert _plan_nodes(substrings.remove_repeats(docs), "MapInArrow") <= 25
+    assert _plan_nodes(corpus_pipeline.drop_near_copies(spark, docs, FOLDER), "Exchange") <= 12

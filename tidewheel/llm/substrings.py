@@ -12,7 +12,8 @@ run, which is why a level costs an eighth of a row for each word, not one.
 3. Level 20: the windows of those runs, one by one; any but the first of equal ones is repeated.
 
 The tables of counts are joined, never gathered: a passage that half of all texts hold is one row for each task that
-reads texts. Texts are shuffled once by document, and that shuffle serves the three reads of them.
+reads texts. Level 1 reads texts as they are and writes the lists of its runs; then texts are shuffled once by document, and
+that shuffle serves the three reads of them.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewheel.llm.hashing import Chunk, chunks
+from tidewheel.llm.tables import stored
 
 #: Windows of so many words are removed; the levels before it are a half and a quarter as long.
 LENGTH = 20
@@ -253,7 +255,8 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, digest: bool = Fa
         return docs.join(runs, ["doc_id", "mark"], how).select(*docs.columns, "runs")
 
     found = docs.mapInArrow(_first_level(length, quarter), schema(doc_id, "value", "at", "n", "runs_held"))
-    left = _by_text(_repeated(found))
+    # written: what follows names it many times, and each time its whole plan would be planned again
+    left = stored(_by_text(_repeated(found)), "windows-left", compression="zstd")
 
     runs = schema(doc_id, "value", "words", "at", "n", "runs_held", T.StructField("sure", T.BooleanType(), False))
     all_found = texts_with(left, "inner").mapInArrow(_second_level(length, half), runs)
