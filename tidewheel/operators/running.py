@@ -214,13 +214,19 @@ def _fold(fold: Fold, over: Column | None = None, value: Column | None = None) -
 
 
 def running_fold(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], folds: Sequence[Fold], hot: HotKeys | None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    folds: Sequence[Fold],
+    hot: HotKeys | None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``df`` and one column per fold.
 
     ``order`` must be total within a key (end it with a unique column), and ``df`` must give the
     same rows whenever it is computed. ``hot`` is what :func:`find_hot_keys` said of ``df``, or of
-    a frame that ``df`` was made from with the same rows and order, by some of the keys.
+    a frame that ``df`` was made from with the same rows and order, by some of the keys. ``partitions``
+    is the number of tasks that rows are dealt to (default: the session's number of shuffle partitions).
     """
     keys, order = list(keys), list(order)
 
@@ -229,7 +235,8 @@ def running_fold(
 
     if hot is None:
         in_order, all_rows = Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*keys)
-        return df.select(
+        dealt = df.repartition(partitions, *keys) if partitions else df
+        return dealt.select(
             "*", *[_fold(f, all_rows if f.whole else frame(in_order, f)).alias(f.name) for f in folds]
         )
 
@@ -254,6 +261,8 @@ def running_fold(
         ],
     )
     rows = sliced.drop("__hot").withColumn("__is_row", F.lit(1)).unionByName(carried, allowMissingColumns=True)
+    if partitions:
+        rows = rows.repartition(partitions, *keys, *slices)
 
     part = Window.partitionBy(*keys, *slices)
     in_order = part.orderBy("__is_row", *order)

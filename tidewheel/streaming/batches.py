@@ -10,6 +10,7 @@ runs to the end of what its source holds, or is started and runs on.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,8 +59,8 @@ def start_running_total(
     ends with what its source holds now. Carried over is a table of totals (:class:`KeyedTotals`):
     a micro-batch reads the totals of its keys and writes what it adds to them. The total as
     carried joins the micro-batch as one row per key without order values, which sorts before all
-    others, so it needs no join and no task of its own. A retried micro-batch overwrites what it
-    wrote. Started under ``stateful_settings`` if the stream itself has state.
+    others, so it needs no join and no task of its own. A task gets some ``split_rows`` rows however
+    large the micro-batch is. A retried micro-batch overwrites what it wrote. Started under ``stateful_settings`` if the stream itself has state.
     """
     keys, order = list(keys), list(order)
     value = F.lit(1) if value is None else value
@@ -76,7 +77,10 @@ def start_running_total(
         # what each key adds is known by now, its number of rows too
         hot = find_hot_keys(both, keys, order, split_rows, counts=added.withColumnRenamed(_ROWS, "n"))
         fold = Fold(name, F.col(_VALUE), inclusive=inclusive)
-        counted = running_fold(both, keys, [*order, _NEW], [fold], hot)
+        # the session's number of shuffle partitions may be that of the state, which does not grow with the input
+        partitions = math.ceil((added.agg(F.sum(_ROWS)).first()[0] or 0) / split_rows)
+        enough = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        counted = running_fold(both, keys, [*order, _NEW], [fold], hot, partitions if partitions > enough else None)
         new = counted.where(F.col(_NEW) == 1).select(*batch.columns, name)
         new.write.mode("overwrite").parquet(f"{folder}/rows/{BATCH}={number}")
 
