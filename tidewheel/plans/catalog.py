@@ -57,9 +57,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # Bounds of a micro-batch over a stored table; the lower one where a key's rows of a micro-batch
-# are sorted in the memory of one task.
+# are sorted in the memory of one task (a row of events takes some 250 bytes there, and 20 in its
+# file). A file is not divided, so this bounds a micro-batch to the limit or one file.
 LIMITS = {"maxBytesPerTrigger": str(256 << 30)}
-STATEFUL_LIMITS = {"maxBytesPerTrigger": str(1 << 30)}
+STATEFUL_LIMITS = {"maxBytesPerTrigger": str(32 << 20)}
 PURCHASE = "event_type = 'purchase'"
 IN_ORDER = ["ts", "event_id"]
 
