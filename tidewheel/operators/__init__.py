@@ -28,3 +28,4 @@ from tidewheel.operators.until import (  # noqa: F401
     windows_until_capped,
     windows_until_timeout,
 )
+from tidewheel.operators.wordruns import running_words  # noqa: F401

@@ -166,8 +166,13 @@ def find_hot_keys(
     hot = HotKeys(list(keys), list(order), hashes, [])
     drawn = df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0)
     sample = hot.mark(drawn, "__hot").where("__hot").select(*[x.value.alias(f"x{i}") for i, x in enumerate(levels)])
-    drawn_levels = sample.toPandas().to_numpy(dtype=float)
+    hot.borders.extend(_borders(sample.toPandas().to_numpy(dtype=float), levels))
+    return hot if hot.borders else None
+
 
+def _borders(drawn_levels: np.ndarray, levels: Sequence[_Level]) -> list[tuple[list[float], list[float]]]:
+    """Slice borders per level at the rows drawn, as :class:`HotKeys` has them."""
+    out: list[tuple[list[float], list[float]]] = []
     before = np.zeros(len(drawn_levels))
     for i, level in enumerate(levels):
         x = level.within(before, drawn_levels[:, i])
@@ -180,13 +185,36 @@ def find_hot_keys(
         splits = cuts[np.isfinite(cuts)]
         if not len(splits) and not len(crowded):
             break
-        hot.borders.append((splits.tolist(), crowded.tolist()))
+        out.append((splits.tolist(), crowded.tolist()))
         before = np.searchsorted(splits, x, side="right").astype(float)
         stay = np.isin(x, crowded)
         if not stay.any():
             break
         drawn_levels, before = drawn_levels[stay], before[stay]
-    return hot if hot.borders else None
+    return out
+
+
+def in_blocks(df: DataFrame, order: Sequence[str], size: Column, block: int) -> tuple[DataFrame, list[str], int] | None:
+    """``df`` with columns that number blocks of its order, their names, and about how many blocks there are.
+
+    A block holds rows of some ``block`` in ``size`` (a whole number over 0) together; the blocks follow
+    each other as their numbers do. They are cut as a hot key is: a sample says where, any choice is right.
+    None if the order's first column can't be cut by.
+    """
+    levels = _all_levels(df, order)
+    if not levels:
+        return None
+    drawn = df.where(F.pmod(F.xxhash64(*order), F.lit(max(1, block // _BORDERS))) < size)
+    sample = drawn.select(*[x.value.alias(f"x{i}") for i, x in enumerate(levels)]).toPandas().to_numpy(dtype=float)
+    in_order = sample[np.lexsort(sample.T[::-1])]
+    borders = _borders(in_order[_BORDERS::_BORDERS], levels)  # every eighth: blocks get more even
+    every = df.withColumn("__all", F.lit(0))
+    code = every.select(_key_hash(["__all"]).alias("h")).limit(1).collect()
+    hot = HotKeys(["__all"], list(order), [r["h"] for r in code], borders)
+    if not borders or not code:
+        return df.withColumn("__slice0", F.lit(0)), ["__slice0"], 1
+    cut, names = _with_slices(every, hot)
+    return cut.drop("__all", "__hot"), names, 1 + sum(len(splits) for splits, _ in borders)
 
 
 def _with_slices(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, list[str]]:

@@ -24,7 +24,7 @@ from tidewheel.operators import (
     parse_flagged,
     parse_locations,
     rebalance,
-    running_count,
+    running_words,
     split_words,
     tokenize,
     tumbling,
@@ -79,8 +79,7 @@ def running_word_count(lines: DataFrame, order: Sequence[str], text: str = "valu
     ``order`` are columns that say in which order the lines came (end it with a unique one).
     They stay, with ``position``, the word's place in its line.
     """
-    words = (split_words if plain else tokenize)(lines, text, order, "position")
-    return running_count(words, ["word"], [*order, "position"])
+    return running_words(lines, order, text, plain)
 
 
 def running_word_count_to_table(
